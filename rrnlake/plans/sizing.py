@@ -18,10 +18,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy per-row work on a table of few input splits.
+    """Use all cores for heavy per-row work on a scan of few input splits.
 
-    Tables with at least one split per core keep their partitions and are not
-    shuffled.
+    Scans with at least one split per core keep their partitions and are not
+    shuffled. Not for plans with shuffles: asking those for their partitions
+    would run them.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -243,3 +243,13 @@ def taxonomy_tree(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         (F.col("c_custkey") + 900000).alias("old_id"), (F.col("c_custkey") + 10000).alias("new_id")
     )
     return {"nodes": every.select("tax_id", "parent_id", "rank"), "names": every.select("tax_id", "name"), "merged": old}
+
+
+# Short primers that the document sequences contain (name, forward, reverse).
+SHORT_PRIMERS = [("P1", "ACGTR", "YACG"), ("P2", "GGNA", "TTRC")]
+
+
+def genomes(spark: SparkSession, folder: str) -> DataFrame:
+    """documents as genomes: each source in runs of 200 documents."""
+    run = F.expr("doc_id div 200").cast("string")
+    return sequences(spark, folder).select(F.concat_ws("_", "source", run).alias("genome"), "seq")

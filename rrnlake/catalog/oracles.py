@@ -320,3 +320,73 @@ ORACLES["export_tables"] = _with(*OPERONS) + """SELECT operon_id, seqid, operon_
 FROM qc WHERE NOT cross_boundary AND linkage = 'Linked'
 UNION ALL SELECT operon_id, seqid, operon_start, operon_end, linkage, 'NCBI', genome_set, cross_boundary
 FROM qc WHERE cross_boundary OR linkage = 'Unlinked'"""
+
+
+def _rc(primer: str) -> str:
+    return primer[::-1].translate(str.maketrans("ACGTRYN", "TGCAYRN"))
+
+
+def _re(primer: str) -> str:
+    return primer.replace("R", "[AG]").replace("Y", "[CT]").replace("N", "[ACGT]")
+
+
+def _sites() -> str:
+    """Left and right primer places per pair and strand."""
+    parts = []
+    for pair, fwd, rev in (("P1", "ACGTR", "YACG"), ("P2", "GGNA", "TTRC")):
+        for strand, left, right in (("+", fwd, _rc(rev)), ("-", rev, _rc(fwd))):
+            for side, p in (("L", left), ("R", right)):
+                parts.append(
+                    f"SELECT seqid, '{pair}' AS pair, '{strand}' AS strand, '{side}' AS side, i AS pos, "
+                    f"{len(left)} AS llen, {len(right)} AS rlen FROM words "
+                    f"WHERE regexp_full_match(w[1:{len(p)}], '{_re(p)}')")
+    return ("words AS (SELECT seqid, i, substring(seq, i, 5) AS w FROM seqs, unnest(range(1, length(seq) + 1)) t(i)),\n"
+            "sites AS (" + "\nUNION ALL ".join(parts) + "),\n"
+            "near AS (SELECT *, min(CASE WHEN side = 'R' THEN pos END) OVER (PARTITION BY seqid, pair, strand ORDER BY pos "
+            "RANGE BETWEEN 4 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop4, "
+            "min(CASE WHEN side = 'R' THEN pos END) OVER (PARTITION BY seqid, pair, strand ORDER BY pos "
+            "RANGE BETWEEN 5 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop5 FROM sites),\n"
+            "hits AS (SELECT seqid, pair, strand, CAST(pos AS INTEGER) AS start, llen, rlen, "
+            "CAST(CASE WHEN llen = 4 THEN stop4 ELSE stop5 END + rlen - 1 AS INTEGER) AS \"end\" FROM near "
+            "WHERE side = 'L' AND CASE WHEN llen = 4 THEN stop4 ELSE stop5 END IS NOT NULL)")
+
+
+def _strand_cut(start: str, end: str) -> str:
+    piece = f"substring(seq, {start}, {end} - ({start}) + 1)"
+    return f"CASE WHEN strand = '-' THEN reverse(translate({piece}, 'ACGT', 'TGCA')) ELSE {piece} END"
+
+
+ORACLES["insilico_pcr"] = _with(SEQS, _sites()) + f"""SELECT seqid, pair, strand, start, "end",
+  "end" - start + 1 AS length, {_strand_cut('start', '"end"')} AS amplicon
+FROM hits JOIN seqs USING (seqid) WHERE "end" - start + 1 <= 10000"""
+ORACLES["primer_yield"] = _with(SEQS, _sites()) + """SELECT pair, (SELECT count(*) FROM seqs) AS sequences,
+  count(DISTINCT seqid) AS amplified, round(100 * count(DISTINCT seqid) / (SELECT count(*) FROM seqs), 6) AS percentage
+FROM hits WHERE "end" - start + 1 <= 10000 GROUP BY pair"""
+ORACLES["extract_reads"] = _with(SEQS, _sites(), """best AS (
+  SELECT seqid, pair, strand, start + llen AS s, "end" - rlen AS e FROM hits
+  QUALIFY row_number() OVER (PARTITION BY seqid, pair ORDER BY strand, start) = 1)""") + f"""SELECT seqid, pair, strand,
+  CAST(0 AS INTEGER) AS mismatches, {_strand_cut('s', 'e')} AS read
+FROM best JOIN seqs USING (seqid) WHERE e - s + 1 >= 100"""
+
+_WORDS7 = """words AS (
+  SELECT seqid, lang, substring(seq, i, 7) AS kmer FROM seqs, unnest(range(1, length(seq) - 5)) t(i))"""
+ORACLES["kmer_counts"] = _with(SEQS, _WORDS7) + "SELECT lang, kmer, count(*) AS n FROM words GROUP BY lang, kmer"
+ORACLES["nb_classify"] = _with(SEQS, _WORDS7, """profile AS (SELECT lang, kmer, count(*) AS n FROM words GROUP BY lang, kmer)""",
+  """totals AS (SELECT lang, ln(0.001 / (sum(n) + 0.001 * (SELECT count(DISTINCT kmer) FROM words))) AS base
+  FROM profile GROUP BY lang)""",
+  """docs AS (SELECT seqid, kmer, count(*) AS n FROM words GROUP BY seqid, kmer)""",
+  """gains AS (SELECT seqid, lang, sum(d.n * ln((p.n + 0.001) / 0.001)) AS gain FROM docs d JOIN profile p USING (kmer)
+  GROUP BY seqid, lang)""",
+  """scores AS (SELECT s.seqid, t.lang, s.total * t.base + coalesce(g.gain, 0) AS score
+  FROM (SELECT seqid, sum(n) AS total FROM docs GROUP BY seqid) s CROSS JOIN totals t
+  LEFT JOIN gains g ON g.seqid = s.seqid AND g.lang = t.lang)""") + """SELECT seqid, lang AS label, round(score, 3) AS score
+FROM scores QUALIFY row_number() OVER (PARTITION BY seqid ORDER BY score DESC, lang DESC) = 1"""
+ORACLES["ani_pairs"] = _with(SEQS, """hashed AS (
+  SELECT genome, list_sort(list_distinct(list(left(md5(least(w, reverse(translate(w, 'ACGT', 'TGCA')))), 16))))[1:1000] AS hs
+  FROM (SELECT source || '_' || (doc_id // 200) AS genome, substring(seq, i, 16) AS w
+        FROM seqs, unnest(range(1, length(seq) - 14)) t(i)) GROUP BY genome)""",
+  """paired AS (SELECT a.genome AS a, b.genome AS b, list_sort(list_distinct(list_concat(a.hs, b.hs)))[1:1000] AS u,
+         list_intersect(a.hs, b.hs) AS i FROM hashed a JOIN hashed b ON a.genome < b.genome)""",
+  """counted AS (SELECT a, b, CAST(len(list_intersect(i, u)) AS BIGINT) AS shared, len(u) AS n FROM paired)""",
+  """est AS (SELECT a, b, shared, 100 * (1 + ln(2 * (shared / n) / (1 + shared / n)) / 16) AS est_ani
+  FROM counted WHERE shared > 0)""") + "SELECT a, b, shared, round(est_ani, 6) AS est_ani FROM est WHERE est_ani >= 80 - 1e-9"

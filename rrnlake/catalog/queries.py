@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rrnlake.catalog import bindings as b
 from rrnlake.config import COMPLETE, GTDB, NCBI
 from rrnlake.functions.ids import clean_consensus_header
-from rrnlake.operators import assemblies, operons, sequences, stats, taxonomy
+from rrnlake.operators import assemblies, cluster, kmers, operons, primers, sequences, stats, taxonomy
+from rrnlake.plans.durable import durable
 from rrnlake.plans.ordering import dense_index
 from rrnlake.sources.fasta import parse_fasta
 from rrnlake.sources.gff import parse_gff
@@ -367,3 +368,87 @@ def export_tables(spark, folder):
         parts[("GTDB", name)] = one.filter(~F.col("cross_boundary") & (F.col("linkage") == "Linked")).select(*keep)
         parts[("NCBI", name)] = operons.rejected_operons(one).select(*keep, "cross_boundary")
     return export_union(parts)
+
+
+# --- clustering ---------------------------------------------------------------
+
+IDENTITY = 0.99
+
+
+def _seqs(spark, folder) -> DataFrame:
+    return b.sequences(spark, folder).select("seqid", "seq", "doc_id")
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+@query
+def similarity_pairs(spark, folder):
+    return _rounded(cluster.similarity_pairs(cluster.greedy_cluster(_seqs(spark, folder), IDENTITY)), "identity")
+
+
+@query
+def greedy_clusters(spark, folder):
+    return _rounded(cluster.greedy_cluster(_seqs(spark, folder), IDENTITY).members, "identity")
+
+
+@query
+def novel_only_merge(spark, folder):
+    """Even documents clustered first; odd ones enter where no centroid represents them."""
+    s = _seqs(spark, folder)
+    old = cluster.greedy_cluster(s.filter("doc_id % 2 = 0"), IDENTITY).centroids()
+    new = s.filter("doc_id % 2 = 1")
+    return cluster.cluster_incremental(old.withColumnRenamed("operon_id", "seqid"), new, IDENTITY).records()
+
+
+@query
+def consensus(spark, folder):
+    return cluster.consensus(cluster.greedy_cluster(_seqs(spark, folder), IDENTITY))
+
+
+# --- primers and k-mers -------------------------------------------------------
+
+
+@query
+def insilico_pcr(spark, folder):
+    return primers.insilico_pcr(_seqs(spark, folder), b.SHORT_PRIMERS)
+
+
+@query
+def primer_yield(spark, folder):
+    return _rounded(primers.primer_yield(_seqs(spark, folder), b.SHORT_PRIMERS), "percentage")
+
+
+@query
+def extract_reads(spark, folder):
+    s = b.sequences(spark, folder).select("seqid", "seq")
+    return primers.extract_reads(s, b.SHORT_PRIMERS, min_len=100, min_identity=1.0)
+
+
+@query
+def extract_reads_tolerant(spark, folder):
+    """Reads with the default share of primer mismatches."""
+    s = b.sequences(spark, folder).select("seqid", "seq")
+    return primers.extract_reads(s, b.SHORT_PRIMERS, min_len=100)
+
+
+@query
+def kmer_counts(spark, folder):
+    return kmers.kmer_counts(b.sequences(spark, folder), kmers.WORD, ["lang"])
+
+
+@query
+def nb_classify(spark, folder):
+    """Documents sorted into languages by a model of all documents."""
+    s = b.sequences(spark, folder).withColumn("model", F.lit("all"))
+    counts = kmers.kmer_counts(s, kmers.WORD, ["model", "lang"])
+    found = kmers.predict_nb(kmers.train_nb(counts, "model", "lang"), s, "model", "seqid")
+    return found.select("seqid", "label", F.round("score", 3).alias("score"))
+
+
+@query
+def ani_pairs(spark, folder):
+    # md5 in place of the default hash, since the SQL twin has it too.
+    rows = kmers.sketches(b.genomes(spark, folder), hash_fn=lambda w: F.substring(F.md5(w), 1, 16))
+    return _rounded(kmers.ani_pairs(durable(kmers.sketch_groups(rows))), "est_ani")

@@ -50,8 +50,3 @@ def stranded_cut(seq: Column, start: Column, end: Column, strand: Column) -> Col
     return F.when(strand == "-", reverse_complement(piece)).otherwise(piece)
 
 
-def kmers(seq: Column, k: int) -> Column:
-    """All k-mers of a sequence as BINARY rows (a generator); none if it is too short."""
-    last = F.octet_length(seq) - (k - 1)
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last))
-    return F.explode(starts)

@@ -102,7 +102,7 @@ def lineage_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def sequences(spark: SparkSession, folder: str) -> DataFrame:
     """documents as sequences over ACGT, whole texts."""
-    d = spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    d = spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     seq = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), LETTERS, BASES)
     return d.select(
         "doc_id", F.concat(F.lit("DOC"), F.col("doc_id")).alias("seqid"), "lang", "source", seq.alias("seq")
@@ -124,7 +124,13 @@ def cut_regions(spark: SparkSession, folder: str) -> DataFrame:
 
 def cluster_rows(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem as cluster members: (cluster_id, operon_id, assembly)."""
-    li = table(spark, folder, "lineitem")
+    li = spread(
+        table(spark, folder, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
+            "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax",
+        ),
+        "l_orderkey", "l_partkey",
+    )
     flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     return li.select(

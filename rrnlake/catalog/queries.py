@@ -372,7 +372,8 @@ def export_tables(spark, folder):
 
 # --- clustering ---------------------------------------------------------------
 
-IDENTITY = 0.99
+IDENTITY = 0.999  # the default of the database build
+LOOSE = 0.99
 
 
 def _seqs(spark, folder) -> DataFrame:
@@ -385,7 +386,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def similarity_pairs(spark, folder):
-    return _rounded(cluster.similarity_pairs(cluster.greedy_cluster(_seqs(spark, folder), IDENTITY)), "identity")
+    return _rounded(cluster.similarity_pairs(cluster.greedy_cluster(_seqs(spark, folder), LOOSE)), "identity")
 
 
 @query
@@ -404,7 +405,7 @@ def novel_only_merge(spark, folder):
 
 @query
 def consensus(spark, folder):
-    return cluster.consensus(cluster.greedy_cluster(_seqs(spark, folder), IDENTITY))
+    return cluster.consensus(cluster.greedy_cluster(_seqs(spark, folder), LOOSE))
 
 
 # --- primers and k-mers -------------------------------------------------------

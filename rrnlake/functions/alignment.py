@@ -92,6 +92,29 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _COMPARED = StructType([StructField("edits", IntegerType()), StructField("offset", IntegerType())])
 
 
+def _words(codes: np.ndarray, q: int) -> np.ndarray:
+    """Slot of every q-letter word in a table of 2^20."""
+    h = np.zeros(len(codes) - q + 1, np.uint32)
+    with np.errstate(over="ignore"):
+        for j in range(q):
+            h = h * np.uint32(0x01000193) + codes[j:len(codes) - q + 1 + j]
+        return (h ^ (h >> np.uint32(15))) * np.uint32(0x9E3779B1) >> np.uint32(12)
+
+
+def may_match(short: bytes, long: bytes, limit: int, q: int = 12) -> bool:
+    """False only if more than `limit` edits are needed.
+
+    `limit` edits break at most q*limit of the words of `short` (q-gram lemma,
+    Jokinen & Ukkonen 1991); the others must occur in `long`.
+    """
+    need = len(short) - q + 1 - q * limit
+    if need <= 0:
+        return True
+    seen = np.zeros(1 << 20, bool)
+    seen[_words(np.frombuffer(long, np.uint8), q)] = True
+    return int(np.count_nonzero(seen[_words(np.frombuffer(short, np.uint8), q)])) >= need
+
+
 @F.pandas_udf(_COMPARED)
 def compare_pairs(left: pd.Series, right: pd.Series, identity: pd.Series) -> pd.DataFrame:
     """Edits between the shorter and the longer sequence of each pair, -1 above the identity limit.
@@ -104,7 +127,7 @@ def compare_pairs(left: pd.Series, right: pd.Series, identity: pd.Series) -> pd.
         x, c = x.encode(), c.encode()
         short, long = (x, c) if len(x) <= len(c) else (c, x)
         limit = int((1 - t) * len(short) + 1e-9)
-        edits = infix_edits(short, long, limit)
+        edits = infix_edits(short, long, limit) if may_match(short, long, limit) else -1
         place = ungapped_offset(short, long, limit) if edits >= 0 else None
         rows.append((edits, place if place is None or short is x else -place))
     return pd.DataFrame(rows, columns=["edits", "offset"]).astype({"edits": "int32", "offset": "Int32"})

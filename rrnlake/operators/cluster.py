@@ -33,6 +33,7 @@ from rrnlake.plans.sizing import spread
 
 FLOOR = 64  # shorter sequences cluster on equality only
 MAX_K = 31
+LOW_K = 20
 MAX_W = 34
 # Row limits up to this size are applied before the shuffle (WindowGroupLimit).
 MAX_HEADS = 1000
@@ -85,11 +86,12 @@ def _anchors(reps: DataFrame, identity: float) -> tuple[DataFrame, DataFrame]:
     sized = reps.filter(F.col("length") >= FLOOR)
     low, high = sized.agg(F.min("length"), F.max("length")).first()
     span = anchor_span(identity, low or FLOOR, high or FLOOR, FLOOR)
-    k = min(MAX_K, max(1, span * 2 // 3))
-    w = min(MAX_W, span - k + 1)
+    # An edit touches the minimizers of 2w+k-2 places: small words for low identities.
+    k = min(MAX_K if identity >= 0.995 else LOW_K, max(1, span * 2 // 3))
+    w = max(1, min(MAX_W, int(0.05 / max(1 - identity, 1e-9)), span - k + 1))
     limit = F.floor(F.lit(1 - identity) * F.col("length") + F.lit(1e-9))
     sketched = durable(
-        spread(sized.select("place", "length", "seq"))
+        spread(sized.select("place", "length", "seq"), "place")
         .select("place", limit.alias("limit"), minimizers(F.col("seq"), k, w).alias("m"))
         .select(
             "place",

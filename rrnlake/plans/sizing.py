@@ -17,7 +17,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores for heavy per-row work on a scan of few input splits.
 
     Scans with at least one split per core keep their partitions and are not
@@ -25,4 +25,4 @@ def spread(df: DataFrame) -> DataFrame:
     would run them.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want, *keys) if df.rdd.getNumPartitions() < want else df

@@ -10,7 +10,6 @@ from rrnlake.catalog import bindings as b
 from rrnlake.config import COMPLETE, GTDB, NCBI
 from rrnlake.functions.ids import clean_consensus_header
 from rrnlake.operators import assemblies, cluster, kmers, operons, primers, sequences, stats, taxonomy
-from rrnlake.plans.durable import durable
 from rrnlake.plans.ordering import dense_index
 from rrnlake.sources.fasta import parse_fasta
 from rrnlake.sources.gff import parse_gff
@@ -452,4 +451,4 @@ def nb_classify(spark, folder):
 def ani_pairs(spark, folder):
     # md5 in place of the default hash, since the SQL twin has it too.
     rows = kmers.sketches(b.genomes(spark, folder), hash_fn=lambda w: F.substring(F.md5(w), 1, 16))
-    return _rounded(kmers.ani_pairs(durable(kmers.sketch_groups(rows))), "est_ani")
+    return _rounded(kmers.ani_pairs(kmers.sketch_groups(rows)), "est_ani")

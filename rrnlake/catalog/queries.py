@@ -10,6 +10,7 @@ from rrnlake.catalog import bindings as b
 from rrnlake.config import COMPLETE, GTDB, NCBI
 from rrnlake.functions.ids import clean_consensus_header
 from rrnlake.operators import assemblies, cluster, kmers, operons, primers, sequences, stats, taxonomy
+from rrnlake.plans.durable import durable
 from rrnlake.plans.ordering import dense_index
 from rrnlake.sources.fasta import parse_fasta
 from rrnlake.sources.gff import parse_gff
@@ -443,7 +444,7 @@ def nb_classify(spark, folder):
     """Documents sorted into languages by a model of all documents."""
     s = b.sequences(spark, folder).withColumn("model", F.lit("all"))
     counts = kmers.kmer_counts(s, kmers.WORD, ["model", "lang"])
-    found = kmers.predict_nb(kmers.train_nb(counts, "model", "lang"), s, "model", "seqid")
+    found = kmers.predict_nb(kmers.train_nb(durable(counts), "model", "lang"), s, "seqid")
     return found.select("seqid", "label", F.round("score", 3).alias("score"))
 
 

@@ -158,8 +158,10 @@ def cluster_records(spark: SparkSession, folder: str) -> DataFrame:
     nothing = F.lit(None).cast("bigint")
     seeds = heads.select(F.lit("S").alias("rec_type"), "cluster_id", nothing.alias("size"), "query")
     sums = heads.select(F.lit("C").alias("rec_type"), "cluster_id", "size", "query")
-    hits = rows.withColumnRenamed("operon_id", "query").join(heads.select("query"), "query", "left_anti").select(
-        F.lit("H").alias("rec_type"), "cluster_id", nothing.alias("size"), "query"
+    hits = (
+        rows.join(heads.select("cluster_id", "query"), "cluster_id")
+        .filter(F.col("operon_id") != F.col("query"))
+        .select(F.lit("H").alias("rec_type"), "cluster_id", nothing.alias("size"), F.col("operon_id").alias("query"))
     )
     return seeds.unionByName(hits).unionByName(sums)
 

@@ -315,7 +315,7 @@ ORACLES["lineage_resolve"] = "WITH RECURSIVE " + ASSEMBLIES + ",\n" + TREE + "\n
 ORACLES["lineage_format"] = "WITH RECURSIVE " + ASSEMBLIES + ",\n" + TREE + """
 SELECT accession, 'k__' || split_part(lineage, ';', 1) || '|p__' || split_part(lineage, ';', 2) ||
   '|c__|o__|f__|g__|s__' || split_part(lineage, ';', 3) || '|t__' AS lineage FROM resolved"""
-ORACLES["export_tables"] = _with(*OPERONS) + """SELECT operon_id, seqid, operon_start, operon_end, linkage,
+ORACLES["export_union"] = _with(*OPERONS) + """SELECT operon_id, seqid, operon_start, operon_end, linkage,
   'GTDB' AS taxonomy_system, genome_set, CAST(NULL AS BOOLEAN) AS cross_boundary
 FROM qc WHERE NOT cross_boundary AND linkage = 'Linked'
 UNION ALL SELECT operon_id, seqid, operon_start, operon_end, linkage, 'NCBI', genome_set, cross_boundary

@@ -12,9 +12,9 @@ from rrnlake.functions.ids import clean_consensus_header
 from rrnlake.operators import assemblies, cluster, kmers, operons, primers, sequences, stats, taxonomy
 from rrnlake.plans.durable import durable
 from rrnlake.plans.ordering import dense_index
+from rrnlake.sources import sinks
 from rrnlake.sources.fasta import parse_fasta
 from rrnlake.sources.gff import parse_gff
-from rrnlake.sources.sinks import export_union
 from rrnlake.sources.tables import parse_assembly_summary, parse_lineage, parse_uc, uc_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -358,7 +358,7 @@ def lineage_format(spark, folder):
 
 
 @query
-def export_tables(spark, folder):
+def export_union(spark, folder):
     """Master and rejected operons of both genome sets under their origin."""
     built = _built(spark, folder)
     keep = ["operon_id", "seqid", "operon_start", "operon_end", "linkage"]
@@ -367,7 +367,7 @@ def export_tables(spark, folder):
         one = built.filter(F.col("genome_set") == name).drop("genome_set")
         parts[("GTDB", name)] = one.filter(~F.col("cross_boundary") & (F.col("linkage") == "Linked")).select(*keep)
         parts[("NCBI", name)] = operons.rejected_operons(one).select(*keep, "cross_boundary")
-    return export_union(parts)
+    return sinks.export_union(parts)
 
 
 # --- clustering ---------------------------------------------------------------

@@ -281,25 +281,24 @@ def tax_rep(spark, folder):
     return taxonomy.tax_rep(_centroids(spark, folder), b.member_lineage_eight(spark, folder))
 
 
-def _lca(spark, folder, drop_unknown: bool = False) -> DataFrame:
-    rows = _lineages(spark, folder)
-    return taxonomy.tax_lca(rows, taxonomy.lca_levels(rows), _centroids(spark, folder), drop_unknown)
+def _lca(rows: DataFrame, centroids: DataFrame, drop_unknown: bool = False) -> DataFrame:
+    return taxonomy.tax_lca(rows, taxonomy.lca_levels(rows), centroids, drop_unknown)
 
 
 @query
 def tax_lca(spark, folder):
-    return _lca(spark, folder)
+    return _lca(_lineages(spark, folder), _centroids(spark, folder))
 
 
 @query
 def tax_lca_known(spark, folder):
     """Only clusters that agree on some rank, the form of the second taxonomy system."""
-    return _lca(spark, folder, drop_unknown=True)
+    return _lca(_lineages(spark, folder), _centroids(spark, folder), drop_unknown=True)
 
 
 @query
 def lca_rank_summary(spark, folder):
-    out = taxonomy.lca_rank_summary(_lca(spark, folder))
+    out = taxonomy.lca_rank_summary(_lca(_lineages(spark, folder), _centroids(spark, folder)))
     return out.withColumn("percentage", F.round("percentage", 6))
 
 
@@ -309,14 +308,10 @@ def conflicting_species(spark, folder):
     return taxonomy.conflicting_species(rows, taxonomy.lca_levels(rows))
 
 
-def _maj(spark, folder) -> DataFrame:
-    levels = taxonomy.maj_levels(_lineages(spark, folder))
-    return taxonomy.tax_maj(levels, _centroids(spark, folder), b.member_lineage(spark, folder))
-
-
 @query
 def tax_maj(spark, folder):
-    return _maj(spark, folder)
+    levels = taxonomy.maj_levels(_lineages(spark, folder))
+    return taxonomy.tax_maj(levels, _centroids(spark, folder), b.member_lineage(spark, folder))
 
 
 @query
@@ -326,8 +321,14 @@ def maj_rank_summary(spark, folder):
 
 
 def _combined(spark, folder) -> DataFrame:
-    rep = taxonomy.tax_rep(_centroids(spark, folder), b.member_lineage(spark, folder))
-    return taxonomy.tax_combined(rep, _lca(spark, folder), _maj(spark, folder))
+    # Both are folded tables that three schemes read, so they are written once.
+    rows, centroids = durable(_lineages(spark, folder)), durable(_centroids(spark, folder))
+    lineage = b.member_lineage(spark, folder)
+    return taxonomy.tax_combined(
+        taxonomy.tax_rep(centroids, lineage),
+        _lca(rows, centroids),
+        taxonomy.tax_maj(taxonomy.maj_levels(rows), centroids, lineage),
+    )
 
 
 @query

@@ -187,9 +187,9 @@ taxa AS (
 
 def _taxon_stats(label: str) -> str:
     return f"""SELECT taxon, rank, lineage,
-  count(*) AS genome_count_all, avg(value) AS {label}_mean_all, median(value) AS {label}_median_all,
+  count(*) AS genome_count_all, round(avg(value), 6) AS {label}_mean_all, median(value) AS {label}_median_all,
   nullif(count(*) FILTER (WHERE is_complete), 0) AS genome_count_complete,
-  avg(value) FILTER (WHERE is_complete) AS {label}_mean_complete,
+  round(avg(value) FILTER (WHERE is_complete), 6) AS {label}_mean_complete,
   median(value) FILTER (WHERE is_complete) AS {label}_median_complete
 FROM taxa GROUP BY taxon, rank, lineage"""
 

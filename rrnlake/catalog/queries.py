@@ -26,6 +26,10 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
 # --- sources -----------------------------------------------------------------
 
 
@@ -226,7 +230,8 @@ def genome_length(spark, folder):
 
 @query
 def genome_length_stats(spark, folder):
-    return stats.genome_length_stats(b.contigs(spark, folder), b.lineage(spark, folder))
+    out = stats.genome_length_stats(b.contigs(spark, folder), b.lineage(spark, folder))
+    return _rounded(out, "genome_length_mean_all", "genome_length_mean_complete")
 
 
 @query
@@ -236,12 +241,14 @@ def copy_number(spark, folder):
 
 @query
 def copy_number_stats(spark, folder):
-    return stats.copy_number_stats(_master(spark, folder), b.lineage(spark, folder))
+    out = stats.copy_number_stats(_master(spark, folder), b.lineage(spark, folder))
+    return _rounded(out, "copy_number_mean_all", "copy_number_mean_complete")
 
 
 @query
 def copy_number_stats_strain(spark, folder):
-    return stats.copy_number_stats(_master(spark, folder), b.lineage_eight(spark, folder), NCBI)
+    out = stats.copy_number_stats(_master(spark, folder), b.lineage_eight(spark, folder), NCBI)
+    return _rounded(out, "copy_number_mean_all", "copy_number_mean_complete")
 
 
 # --- taxonomy -----------------------------------------------------------------
@@ -381,10 +388,6 @@ def _seqs(spark, folder) -> DataFrame:
     return b.sequences(spark, folder).select("seqid", "seq", "doc_id")
 
 
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in columns})
-
-
 @query
 def similarity_pairs(spark, folder):
     return _rounded(cluster.similarity_pairs(cluster.greedy_cluster(_seqs(spark, folder), LOOSE)), "identity")

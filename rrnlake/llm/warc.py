@@ -87,7 +87,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 def field(name: str, header: Column | str = "header") -> Column:
     """The value of a field of a header block, null where it lacks."""
     text = (F.col(header) if isinstance(header, str) else header).cast("string")
-    found = F.regexp_extract(text, rf"(?m)^{name}: ([^\r\n]*)\r$", 1)
+    found = F.regexp_extract(text, rf"(?m)^{name}: ([^\r\n]*)", 1)
     return F.when(text.rlike(rf"(?m)^{name}: "), found)
 
 

@@ -60,9 +60,8 @@ def write_archive(pages: DataFrame, path: str, rules: ArchiveRules = ArchiveRule
     kind = F.when(is_first | (F.col("payload_bytes") < rules.min_revisit_bytes), "response").otherwise("revisit")
     records = rows.drop("payload").join(first, "digest").withColumn("record_type", kind)
     records.select("digest", _header(rules).alias("header")).write.parquet(f"{path}/records")
-    # The row of the first record brings the bytes, so that no copy of them is shuffled; repeats of that row fold.
-    owners = rows.select("digest", "page_id", "payload").join(first, "digest").filter(is_first)
-    owners.groupBy("digest").agg(F.any_value("payload").alias("payload")).write.parquet(f"{path}/payloads")
+    # Equal digests have equal bytes: any row brings them, and copies fold before they are shuffled.
+    rows.groupBy("digest").agg(F.any_value("payload").alias("payload")).write.parquet(f"{path}/payloads")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

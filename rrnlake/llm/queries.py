@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rrnlake.llm import hilbert, mixing, warc
-from rrnlake.llm.common import table
+from rrnlake.llm import embeddings, hilbert, mixing, quality, segmentation, simhash, warc
+from rrnlake.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -36,6 +36,36 @@ def op3_hilbert_shards(spark, folder):
     return hilbert.shard_documents(table(spark, folder, "documents"))
 
 
+@query
+def op5_simhash_near_dedup(spark, folder):
+    """SimHash fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents")).drop("fp")
+
+
+@query
+def op6_compression_quality(spark, folder):
+    """Quality score of every document by compression with dictionaries of good and bad text."""
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_collision_counting(spark, folder):
+    """Links and component of every embedding among those of its label."""
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op10_nbest_segmentation(spark, folder):
+    """The four best segmentations of every document: scores, digests, and whether the best decodes to the text."""
+    docs = table(spark, folder, "documents")
+    encoded = staged(segmentation.encode_nbest(docs), "encoded")
+    back = segmentation.decode_ids(encoded).select("doc_id", F.sha2("text", 256).alias("decoded_sha256"))
+    return encoded.select(
+        "doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_xxh64"), F.col("nbest.score").alias("scores"),
+        F.to_json("nbest.edits").alias("edits"),
+    ).join(back, "doc_id")
+
+
 ORACLES: dict[str, str] = {
     "op1_mix_sources": r"""
         WITH d AS (

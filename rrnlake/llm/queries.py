@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rrnlake.llm import embeddings, hilbert, mixing, quality, segmentation, simhash, warc
+from rrnlake.llm import embeddings, hilbert, licenses, mixing, quality, segmentation, simhash, warc, winnowing
 from rrnlake.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,12 +48,24 @@ def op6_compression_quality(spark, folder):
     return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op7_license_scan(spark, folder):
+    """License phrases and templates of every document."""
+    return licenses.scan_documents(table(spark, folder, "documents"))
+
+
 @query
 def op8_collision_counting(spark, folder):
     """Links and component of every embedding among those of its label."""
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
 
 
+@query
+def op9_winnowing(spark, folder):
+    """Fingerprints of every document, its edited text and its successor."""
+    return winnowing.compare_edited(table(spark, folder, "documents"))
+
+
 @query
 def op10_nbest_segmentation(spark, folder):
     """The four best segmentations of every document: scores, digests, and whether the best decodes to the text."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rrnlake.llm import embeddings, hilbert, licenses, mixing, quality, segmentation, simhash, warc, winnowing
+from rrnlake.llm import embeddings, hilbert, licenses, linedup, mixing, quality, segmentation, simhash, warc, winnowing
 from rrnlake.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def op3_hilbert_shards(spark, folder):
     return hilbert.shard_documents(table(spark, folder, "documents"))
 
 
+@query
+def op4_line_dedup(spark, folder):
+    """Lines deleted from every document as later repeats, and a digest of what is left."""
+    left = linedup.dedup_lines(table(spark, folder, "documents"))
+    return left.select("doc_id", "deleted_lines", F.col("n_chars").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op5_simhash_near_dedup(spark, folder):
     """SimHash fingerprint and component of every document."""

@@ -17,6 +17,7 @@ from rrnlake.plans.durable import durable
 from rrnlake.plans.ordering import dense_index
 
 KEY_BITS = 60
+BROADCAST_SOURCES = 100_000  # rows of a name and four numbers; more are joined by a shuffle
 
 
 @dataclass(frozen=True)
@@ -111,6 +112,17 @@ def _thresholds(rows: DataFrame, targets: DataFrame, rules: MixRules) -> DataFra
     return state.withColumn("cut", F.shiftleft(F.col("prefix") + extra, KEY_BITS - used))
 
 
+def _cuts(docs: DataFrame, rules: MixRules) -> tuple[DataFrame, DataFrame]:
+    """The narrow rows of docs, and per source its target and thresholds, broadcast when counted to be few."""
+    rows = staged(
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), document_key(F.col("doc_id")).alias("key")), "mix"
+    )
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    cuts = durable(_thresholds(rows, source_targets(sizes, rules), rules).select(
+        F.col("source").alias("__source"), "source_size", "target", "passes", "cut"))
+    return rows, F.broadcast(cuts) if cuts.count() <= BROADCAST_SOURCES else cuts
+
+
 def mix_sources(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """doc_id, source, size, source_size, target and taken of every document.
 
@@ -118,14 +130,18 @@ def mix_sources(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     told apart by value, null being one of them; a source of no words has target 0. Documents with the same id share
     their key and are taken alike. An empty table gives no rows. Other columns of docs are ignored. Runs jobs.
     """
-    rows = staged(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), document_key(F.col("doc_id")).alias("key")), "mix"
-    )
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    cuts = _thresholds(rows, source_targets(sizes, rules), rules).select(
-        F.col("source").alias("_s"), "source_size", "target", "passes", "cut"
-    )
+    rows, cuts = _cuts(docs, rules)
     times = F.col("passes") + (F.col("key") < F.col("cut")).cast("long")
-    return rows.join(cuts, rows["source"].eqNullSafe(cuts["_s"])).select(
+    return rows.join(cuts, rows["source"].eqNullSafe(cuts["__source"])).select(
         "doc_id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken")
     )
+
+
+def apply_mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
+    """The rows of docs, with all their columns, as often as the mix takes them (see mix_sources). Runs jobs."""
+    _, cuts = _cuts(docs, rules)
+    cuts = cuts.select("__source", F.col("passes").alias("__passes"), F.col("cut").alias("__cut"))
+    times = F.col("__passes") + (document_key(F.col("doc_id")) < F.col("__cut")).cast("long")
+    joined = docs.join(cuts, docs["source"].eqNullSafe(cuts["__source"]))
+    # array_repeat of no elements explodes to no row.
+    return joined.withColumn("__again", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[docs[c] for c in docs.columns])

@@ -9,6 +9,7 @@ runs in those, and its results are combined.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-KEEP_LENGTH, KEEP_CHUNKS = 64, 300_000  # of chunks whose segmentations a task remembers
+KEEP_LENGTH, KEEP_CHUNKS = 64, 600_000  # of chunks whose segmentations a Python worker remembers
 ENCODED = "doc_id bigint, ids array<int>, nbest array<struct<score: double, edits: array<struct<start: int, length: int, ids: array<int>>>>>"
 
 
@@ -43,7 +44,14 @@ class PieceLattice:
         self.pieces = {own.id_to_piece(i): (own.get_score(i), i) for i in plain}
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece goes over the start of a white space run")
-        self.starts = {p[:k] for p in self.pieces for k in range(1, len(p))} - set(self.pieces)
+        # A tree of characters; a node is [nodes by next character, score or None, id].
+        self.tree: dict[str, list] = {}
+        for piece, (score, i) in self.pieces.items():
+            nodes = self.tree
+            for c in piece[:-1]:
+                nodes = nodes.setdefault(c, [{}, None, -1])[0]
+            nodes.setdefault(piece[-1], [{}, None, -1])[1:] = score, i
+        self.longest = max(map(len, self.pieces), default=0)
         self.unknown_id = own.unk_id()
         self.unknown_score = min((s for s, _ in self.pieces.values()), default=0.0) - 10
         self.byte_ids = [own.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
@@ -59,24 +67,16 @@ class PieceLattice:
 
     def forward(self, chunk: str) -> tuple[list[float], list[list[tuple[int, float, int]]]]:
         """Best score up to each position, and the pieces (start, score, id) that end there; id -1 is unknown."""
-        n, pieces, starts = len(chunk), self.pieces, self.starts
+        n, pieces = len(chunk), self.pieces
         best, ends = [0.0] + [-np.inf] * n, [[] for _ in range(n + 1)]
         for s in range(n):
-            here, single = best[s], False
-            for e in range(s + 1, n + 1):
-                part = chunk[s:e]
-                found = pieces.get(part)
+            for e in range(s + 1, min(n, s + self.longest) + 1):
+                found = pieces.get(chunk[s:e])
+                if found is None and e == s + 1:
+                    found = (self.unknown_score, -1)
                 if found is not None:
-                    value = here + found[0]
-                    ends[e].append((s, found[0], found[1]))
-                    if value > best[e]:
-                        best[e] = value
-                    single |= e == s + 1
-                elif part not in starts:
-                    break
-            if not single:
-                ends[s + 1].append((s, self.unknown_score, -1))
-                best[s + 1] = max(best[s + 1], here + self.unknown_score)
+                    ends[e].append((s, *found))
+                    best[e] = max(best[e], best[s] + found[0])
         return best, ends
 
     def _ids(self, chunk: str, path: list[tuple[int, int, int]]) -> tuple[int, ...]:
@@ -91,18 +91,41 @@ class PieceLattice:
         return tuple(out)
 
     def best(self, chunk: str) -> tuple[float, tuple[int, ...], float]:
-        """Score and ids of the best path, and what the second-best path loses against it (infinite if there is none)."""
-        best, ends = self.forward(chunk)
-        at, path, gap = len(chunk), [], np.inf
+        """Score and ids of the best path, and what the second-best path loses against it (infinite if there is none).
+
+        The second-best path leaves the best one, seen from the end, at one position by the second-best way to get there.
+        """
+        n, tree = len(chunk), self.tree
+        best, second, back = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [(0, -1)] * (n + 1)
+        for s in range(n):
+            here, e = best[s], s + 1
+            node = tree.get(chunk[s])
+            if node is None or node[1] is None:
+                value, piece = here + self.unknown_score, -1
+            else:
+                value, piece = here + node[1], node[2]
+            if value > best[e]:
+                second[e], best[e], back[e] = best[e], value, (s, piece)
+            elif value > second[e]:
+                second[e] = value
+            while node is not None and e < n:
+                node = node[0].get(chunk[e])
+                if node is None:
+                    break
+                e += 1
+                if node[1] is not None:
+                    value = here + node[1]
+                    if value > best[e]:
+                        second[e], best[e], back[e] = best[e], value, (s, node[2])
+                    elif value > second[e]:
+                        second[e] = value
+        at, path, gap = n, [], np.inf
         while at:
-            losses = [(best[at] - best[s] - score, s, i) for s, score, i in ends[at]]
-            losses.sort()
-            _, start, piece = losses[0]
-            if len(losses) > 1:
-                gap = min(gap, losses[1][0])
+            gap = min(gap, best[at] - second[at])
+            start, piece = back[at]
             path.append((start, at, piece))
             at = start
-        return best[-1], self._ids(chunk, path[::-1]), gap
+        return best[n], self._ids(chunk, path[::-1]), gap
 
     def nbest(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """Up to n (loss against the best score, ids), best first.
@@ -149,6 +172,7 @@ class _Memory:
         self.places: dict[str, int] = {}
         self.scores, self.gaps, self.ids, self.texts = [], [], [], []
         self.lists: dict[str, list] = {}
+        self.long: list[str] = []
 
     def place(self, chunk: str) -> int:
         at = self.places.get(chunk)
@@ -160,6 +184,8 @@ class _Memory:
             self.ids.append(ids)
             self.texts.append(chunk)
             self.places[chunk] = at
+            if len(chunk) > KEEP_LENGTH:
+                self.long.append(chunk)
         return at
 
     def alternatives(self, at: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -174,9 +200,23 @@ class _Memory:
     def trim(self) -> None:
         if len(self.scores) > KEEP_CHUNKS:
             self.__post_init__()
-        else:  # long chunks are not worth their room
-            for chunk in [c for c in self.places if len(c) > KEEP_LENGTH]:
-                del self.places[chunk]
+        for chunk in self.long:  # not worth their room
+            at = self.places.pop(chunk)
+            self.ids[at], self.texts[at] = (), ""
+            self.lists.pop(chunk, None)
+        self.long = []
+
+
+_MEMORIES: dict[tuple[bytes, int], _Memory] = {}
+
+
+def _memory(model: bytes, n: int) -> _Memory:
+    """One memory per Python worker, which runs many tasks."""
+    key = (hashlib.sha256(model).digest(), n)
+    if key not in _MEMORIES:
+        _MEMORIES.clear()
+        _MEMORIES[key] = _Memory(PieceLattice(model), n)
+    return _MEMORIES[key]
 
 
 def encode_text(memory: _Memory, text: str | None) -> tuple[list[int], list[tuple[float, list]]]:
@@ -226,7 +266,7 @@ def encode_nbest(docs: DataFrame, n: int = 4, model_path: str = MODEL) -> DataFr
         model = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Memory(PieceLattice(model), n)
+        memory = _memory(model, n)
         edit = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))])
         kind = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
         for batch in batches:

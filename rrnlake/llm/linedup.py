@@ -1,15 +1,16 @@
 """Line dedup by winnowing over line hashes, with column expressions only.
 
-A text is cut into lines, and long lines at the ends of sentences, so that a passage inside a line is found as well. A
-stretch starts at a line and goes on until it has `least_words` words or `most_lines` lines. Winnowing keeps of every
-stretch the line with the least hash, the rightmost of equals: equal stretches keep the same one, so a repeated stretch
-always has a repeated fingerprint. Only at repeated fingerprints whole stretches are compared, forward from each line and
-backward from each line: with both directions a match extends to all lines it has. Lines of a stretch that occurs earlier,
-in order of doc_id and position, are deleted.
+A text is cut into lines, and lines at the ends of sentences, so that a passage inside a line is found as well. A stretch
+starts at a line and goes on until it has `least_words` words or `most_lines` lines. The hashes of each two lines in a row
+are combined, and winnowing keeps of every stretch the pair with the least hash, the rightmost of equals: equal stretches
+keep the same one, so a repeated stretch always has a repeated fingerprint. Only at repeated fingerprints whole stretches
+are compared, forward from each line and backward from each line: with both directions a match extends to all lines it
+has. Lines of a stretch that occurs earlier, in order of doc_id and position, are deleted.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,61 +22,86 @@ NO_ID = -(1 << 63)  # stands for a null doc_id
 
 @dataclass(frozen=True)
 class LineRules:
-    """cut is where lines end, as a pattern for positions between characters; blank lines go with the line before."""
+    """A line ends behind each of `ends`."""
 
     least_words: int = 50
     most_lines: int = 12
-    cut: str = r"(?<=\n)(?!\s)|(?<=[.!?] )(?!\s)"
+    ends: tuple[str, ...] = ("\n", ". ", "! ", "? ")
+
+
+SPAN = 64  # a stretch is coded as its first line times this, plus its number of lines
+MARK = "\x01"  # set behind the ends of lines, where a text has none itself
 
 
 def split_lines(text: Column, rules: LineRules) -> Column:
     """Lines with their ends: joined they are the text again."""
-    return F.filter(F.split(text, rules.cut), lambda u: u != "")
+    marked = text
+    for end in rules.ends:
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    pattern = "|".join(f"(?<={re.escape(end)})" for end in rules.ends)
+    units = F.when(F.contains(text, F.lit(MARK)), F.split(text, pattern)).otherwise(F.split(marked, MARK))
+    return F.filter(units, lambda u: u != "")
 
 
 def _plain(line: Column) -> Column:
-    return F.rtrim(line, F.lit(" \n\r\t"))
+    return F.rtrim(F.replace(line, F.lit("\n"), F.lit("")))
+
+
+def _with_sums(df: DataFrame, keep: list[str]) -> DataFrame:
+    """Add n2 and n4: words of the two and four lines from each line on, null where the text ends before."""
+    for name, old, step in (("n2", "n", 1), ("n4", "n2", 2)):
+        index = F.sequence(F.lit(0), F.size(old) - 1)
+        df = df.select(*keep, F.when(F.size(old) > 0, F.transform(index, lambda i: F.get(old, i) + F.get(old, i + step))).alias(name))
+        keep = [*keep, name]
+    return df
 
 
-def _line_words(line: Column) -> Column:
-    plain = _plain(line)
-    return F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1)
+def _reach(i: Column, step: int, rules: LineRules) -> Column:
+    """Lines of the stretch from line i on (step 1), or back to it (step -1): 0 if the text ends before it is complete."""
 
+    def words(count: int) -> Column:  # of `count` lines, from sums of four, two and one
+        total, done = None, 0
+        for size, name in ((4, "n4"), (2, "n2"), (1, "n")):
+            while count - done >= size:
+                at = i + done if step > 0 else i - done - size + 1
+                one = F.get(name, at)  # null beyond either end, which no comparison passes
+                total, done = one if total is None else total + one, done + size
+        return total
 
-def _reach(words: Column, i: Column, step: int, rules: LineRules) -> Column:
-    """Lines of the stretch from line i on (step 1), or back (step -1): 0 if the text ends before it is complete."""
-    total, found = None, None
-    for k in range(rules.most_lines):
-        at = i + k * step if k else i
-        one = F.get(words, at)  # null beyond either end, which no comparison passes
-        total = one if total is None else total + one
-        done = (total >= rules.least_words) if k + 1 < rules.most_lines else total.isNotNull()
-        found = F.when(done, k + 1) if found is None else found.when(done, k + 1)
-    return found.otherwise(0)
+    found = None
+    for count in range(1, rules.most_lines + 1):
+        done = words(count) >= rules.least_words if count < rules.most_lines else words(count).isNotNull()
+        found = F.when(done, count) if found is None else found.when(done, count)
+    return found.otherwise(0).cast("tinyint")
 
 
 def _lined(docs: DataFrame, rules: LineRules) -> DataFrame:
     """_id, _x (hash of the text), h and n (hash and words of each line), ahead (length of the stretch from each line)."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_x"), split_lines(text, rules).alias("_u"))
-    rows = rows.select(
-        "_id", "_x", F.transform("_u", lambda u: F.xxhash64(_plain(u))).alias("h"), F.transform("_u", _line_words).alias("n"))
+    rows = rows.select("_id", "_x", F.transform("_u", _plain).alias("_p"))
+    count = lambda p: F.when(p == "", 0).otherwise(F.length(p) - F.length(F.replace(p, F.lit(" "), F.lit(""))) + 1)
+    rows = rows.select("_id", "_x", F.transform("_p", lambda p: F.xxhash64(p)).alias("h"), F.transform("_p", count).alias("n"))
+    rows = _with_sums(rows, ["_id", "_x", "h", "n"])
     index = F.sequence(F.lit(0), F.size("n") - 1)
-    ahead = F.when(F.size("n") > 0, F.transform(index, lambda i: _reach(F.col("n"), i, 1, rules)))
-    return rows.withColumn("ahead", ahead)
+    return rows.select("_id", "_x", "h", "n", F.when(F.size("n") > 0, F.transform(index, lambda i: _reach(i, 1, rules))).alias("ahead"))
 
 
 def _fingerprints(lined: DataFrame) -> DataFrame:
-    """Add `marks`: for each line the position of the least hash of its stretch, the rightmost of equals; -1 without one."""
+    """Add `pairs`, the hash of each line and the next, and `marks`: how far behind each line the least pair of its stretch
+    begins, the rightmost of equals; -1 without a stretch. A stretch of one line is marked at itself."""
+    last = F.size("h") - 1
+    index = F.sequence(F.lit(0), last)
+    pair = F.transform(index, lambda i: F.xxhash64(F.get("h", i), F.get("h", i + 1)))  # the last line is alone
+    rows = lined.withColumn("pairs", F.when(F.size("h") > 0, pair))
 
     def least(i: Column) -> Column:
-        length = F.get("ahead", i)
-        part = F.slice("h", i + 1, length)
-        back = F.array_position(F.reverse(part), F.array_min(part)).cast("int")
-        return F.when(length > 0, i + length - back).otherwise(-1)
+        length = F.get("ahead", i).cast("int")
+        part = F.reverse(F.slice("pairs", i + 1, length - 1))
+        offset = length - 1 - F.array_position(part, F.array_min(part)).cast("int")
+        return F.when(length > 1, offset).when(length == 1, 0).otherwise(-1).cast("tinyint")
 
-    index = F.sequence(F.lit(0), F.size("h") - 1)
-    return lined.withColumn("marks", F.when(F.size("h") > 0, F.transform(index, least)))
+    return rows.withColumn("marks", F.when(F.size("h") > 0, F.transform(index, least)))
 
 
 def repeated_stretches(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
@@ -84,27 +110,41 @@ def repeated_stretches(docs: DataFrame, rules: LineRules = LineRules()) -> DataF
     Positions count lines from 0. Rows equal in doc_id and text are one document. Runs jobs.
     """
     # Filtered only once written: a filter pushed into the projections would compute their arrays again for each element.
-    lined = staged(_fingerprints(_lined(docs, rules)), "lines").filter("exists(ahead, a -> a > 0)")
-    marked = lined.select("_id", "_x", "h", F.explode(F.array_distinct(F.filter("marks", lambda p: p >= 0))).alias("p"))
-    marked = marked.select("_id", "_x", "p", F.get("h", F.col("p")).alias("hash")).distinct()
+    wide = _fingerprints(_lined(docs, rules)).withColumn("n", F.transform("n", lambda n: F.least(n, F.lit(rules.least_words)).cast("smallint")))
+    lined = staged(wide.drop("pairs"), "lines").filter("exists(ahead, a -> a > 0)")
+    # A fingerprint is a pair of lines, or a line of a stretch by itself: its line times two, plus one if by itself. Sets are
+    # of numbers here, since distinct structs of an array are found by comparing all of them with each other.
+    alone = lambda i: (F.get("ahead", i) == 1).cast("int")
+    code = F.transform("marks", lambda m, i: F.when(m >= 0, (i + m) * 2 + alone(i)))
+    marked = lined.select("_id", "_x", "h", F.explode(F.array_distinct(F.array_compact(code))).alias("_m"))
+    line = F.shiftright("_m", 1)
+    own = F.xxhash64(F.get("h", line), F.when(F.col("_m") % 2 == 0, F.get("h", line + 1)))
+    marked = marked.select("_id", "_x", "_m", own.alias("hash"))
     twice = marked.groupBy("hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("hash")
-    live = marked.join(twice, "hash").groupBy("_id", "_x").agg(F.collect_set("p").alias("live"))  # bounded by the document
-    near = lined.dropDuplicates(["_id", "_x"]).join(live, ["_id", "_x"])
-    near = near.withColumn("hot", F.transform("marks", lambda p: F.array_contains("live", p)))
-    index = F.sequence(F.lit(0), F.size("h") - 1)
-    span = lambda start, length: F.when(length > 0, F.struct(start.cast("int").alias("start"), length.cast("int").alias("length")))
-    forward = F.transform(index, lambda i: F.when(F.get("hot", i), span(i, F.get("ahead", i))))
-    near = near.withColumn("behind", F.transform(index, lambda j: _reach(F.col("n"), j, -1, rules)))
-    # A stretch back from j holds the forward stretch from its first line, so it repeats only where that one is live.
-    backward = F.transform(index, lambda j: F.when(
-        (F.get("behind", j) > 0) & F.coalesce(F.get("hot", j + 1 - F.get("behind", j)), F.lit(False)),
-        span(j + 1 - F.get("behind", j), F.get("behind", j))))
-    spans = F.array_distinct(F.array_compact(F.concat(forward, backward)))
-    rows = near.select("_id", "_x", "h", F.explode(spans).alias("_s")).select(
-        "_id", "_x", F.col("_s.start").alias("start"), (F.col("_s.start") + F.col("_s.length") - 1).alias("end"),
-        F.slice("h", F.col("_s.start") + 1, F.col("_s.length")).alias("_h"))
-    # 96 bits stand for the lines of a stretch.
-    rows = rows.select("_id", "_x", "start", "end", F.xxhash64("_h").alias("_k"), F.hash("_h").alias("_l"))
+    live = marked.join(twice, "hash").groupBy("_id", "_x").agg(F.collect_set("_m").alias("live"))  # bounded by the document
+    near = _with_sums(lined.join(live, ["_id", "_x"]), ["_id", "_x", "h", "n", "ahead", "marks", "live"])
+    last, most = F.size("h") - 1, rules.most_lines
+
+    def starts_of(m: Column) -> Column:  # the lines whose stretch has this fingerprint
+        p = F.shiftright(m, 1)
+        around = F.sequence(F.greatest(p - (most - 1), F.lit(0)), p)
+        return F.filter(around, lambda i: (F.get("marks", i).cast("int") == p - i) & (alone(i) == m % 2))
+
+    near = near.select("_id", "_x", "h", "n", "n2", "n4", "ahead", F.flatten(F.transform("live", starts_of)).alias("starts"))
+
+    # A stretch back to a line holds the forward stretch from there, so it repeats only where that one is live.
+    def ends_of(i: Column) -> Column:
+        around = F.sequence(i, F.least(i + (most - 1), last))
+        back = F.filter(around, lambda j: _reach(j, -1, rules).cast("int") == j - i + 1)
+        return F.transform(back, lambda j: i * SPAN + (j - i + 1))
+
+    forward = F.transform("starts", lambda i: i * SPAN + F.get("ahead", i).cast("int"))
+    near = near.select("_id", "_x", "h", F.concat(forward, F.flatten(F.transform("starts", ends_of))).alias("_all"))
+    start, length = F.floor(F.col("_s") / SPAN).cast("int"), (F.col("_s") % SPAN).cast("int")
+    rows = near.select("_id", "_x", "h", F.explode(F.array_distinct("_all")).alias("_s")).select(
+        "_id", "_x", start.alias("start"), (start + length - 1).alias("end"), F.slice("h", start + 1, length).alias("_h"))
+    # 96 bits stand for the lines of a stretch. Written, as the join below reads it twice.
+    rows = staged(rows.select("_id", "_x", "start", "end", F.xxhash64("_h").alias("_k"), F.hash("_h").alias("_l")), "stretches")
     first = rows.groupBy("_k", "_l").agg(F.min(F.struct("_id", "start", "_x")).alias("_f"), F.count("*").alias("_n")).filter("_n > 1")
     here = F.struct("_id", "start", "_x")
     return rows.join(first, ["_k", "_l"]).filter(here != F.col("_f")).select(

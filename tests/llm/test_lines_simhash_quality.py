@@ -15,10 +15,10 @@ RULES = linedup.LineRules()
 
 def brute_lines(rows):
     """{(doc_id, text): new text} by comparing every stretch with all before it."""
-    cut, seen, out = re.compile(RULES.cut), {}, {}
+    cut, seen, out = re.compile(r"(?<=\n)|(?<=[.!?] )"), {}, {}
     for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
         units = [u for u in cut.split(text or "") if u]
-        plain = [u.rstrip(" \n\r\t") for u in units]
+        plain = [u.replace("\n", "").rstrip(" ") for u in units]
         words = [p.count(" ") + 1 if p else 0 for p in plain]
         spans = set()
         for i in range(len(units)):

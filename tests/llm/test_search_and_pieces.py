@@ -68,14 +68,14 @@ def test_calibration():
 def test_phrases_and_templates(spark):
     rows = [(1, "Released under the MIT License.\nNothing else"), (2, "the mit-license, CC-BY and cc by! Apache LICENSE apache license"),
             (3, "GNU General\nPublic License"), (4, "This work is licensed under the GNU General Public License, version 3."),
-            (5, "licensed under cc by nc 4 0 by all"), (6, "all rights  are reserved"), (7, "ÀPACHE LICENSE é apache license"), *HARD]
+            (5, "licensed under cc by nc 4 0 by all"), (6, "all rights  are reserved"), (7, "ÀPACHE LICENSE é apache license"), *[(100 + (r[0] or 0), r[1]) for r in HARD]]
     got = {r.doc_id: r for r in licenses.scan_documents(clashing(docs(spark, rows))).collect()}
     assert (got[2].n_base, got[2].first_word, got[2].last_word, got[2].base_labels) == (5, 1, 10, "apache,cc-by,mit")
     assert got[3].n_base == 1 and got[3].base_labels == "gpl" and got[3].first_word == 0
     assert "gpl-3.0" in got[4].labels.split(",") and "gpl" in got[4].labels.split(",")
     assert got[2].n_words == 12 and got[7].first_word == 3
     assert "cc-by-nc-4.0" in got[5].labels and got[6].labels == "all-rights-reserved" and got[6].n_base == 0
-    assert got[3 if False else 5].score == 1.0 and got[6].score == 1.0
+    assert got[5].score == 1.0 and got[6].score == 1.0 and got[102].score == 0.0 and got[105].n_words == 30_000
     assert licenses.scan_documents(docs(spark, [])).count() == 0
 
 

@@ -32,6 +32,9 @@ CONTIGS = """contigs AS (
   GROUP BY genome_set, seqid
   HAVING CAST(regexp_extract(seqid, '__NZ_(.*)$', 1) AS BIGINT) % 25 <> 24)"""
 
+ALL_CONTIGS = """contigs AS (
+  SELECT genome_set, seqid, max("end") AS length FROM features GROUP BY genome_set, seqid)"""
+
 GENES = """genes AS (
   SELECT genome_set, seqid, start, "end", strand,
          CASE WHEN product LIKE '%16S%' THEN '16S' ELSE '23S' END AS gene, attributes
@@ -265,15 +268,15 @@ ORACLES["exact_dedupe"] = _with(SEQS) + """SELECT seqid, copies FROM (
   SELECT seqid, count(*) OVER (PARTITION BY seq) AS copies,
          row_number() OVER (PARTITION BY seq ORDER BY doc_id % 2, seqid) AS place FROM seqs) WHERE place = 1"""
 
-ORACLES["split_id"] = _with(FEATURES, CONTIGS) + """SELECT seqid, split_part(seqid, '__', 1) AS assembly,
+ORACLES["split_id"] = _with(FEATURES, ALL_CONTIGS) + """SELECT seqid, split_part(seqid, '__', 1) AS assembly,
   split_part(seqid, '__', 2) AS contig FROM contigs"""
 for _name, _table in (("rank_explode", "lineage"), ("rank_explode_strain", "lineage8")):
     ORACLES[_name] = _with(LINEAGE, LINEAGE8) + f"""SELECT assembly, parts[i] AS taxon,
   upper(parts[i][1:1]) AS rank, CAST(i AS INTEGER) AS rank_ord, array_to_string(parts[1:i], '|') AS lineage
 FROM (SELECT assembly, string_split(lineage, '|') AS parts FROM {_table}), unnest(range(1, 8)) AS t(i)"""
-ORACLES["genome_length"] = _with(FEATURES, CONTIGS, GENOME_LENGTH) + "SELECT * FROM genomes"
+ORACLES["genome_length"] = _with(FEATURES, ALL_CONTIGS, GENOME_LENGTH) + "SELECT * FROM genomes"
 ORACLES["genome_length_stats"] = _with(
-    FEATURES, CONTIGS, GENOME_LENGTH, LINEAGE,
+    FEATURES, ALL_CONTIGS, GENOME_LENGTH, LINEAGE,
     TAXON_KEYS.format(value="genome_length", lineage="lineage", table="lineage"),
 ) + _taxon_stats("genome_length")
 ORACLES["copy_number"] = _with(*OPERONS, MASTER, COPY_NUMBER) + "SELECT * FROM genomes"
@@ -330,25 +333,32 @@ def _re(primer: str) -> str:
     return primer.replace("R", "[AG]").replace("Y", "[CT]").replace("N", "[ACGT]")
 
 
-def _sites() -> str:
-    """Left and right primer places per pair and strand."""
+def _wrong(primer: str) -> str:
+    """Positions of w that a primer does not allow."""
+    one = {"R": "AG", "Y": "CT", "N": "ACGT"}
+    return " + ".join(f"CASE WHEN w[{i}:{i}] IN ({', '.join(repr(c) for c in one.get(x, x))}) THEN 0 ELSE 1 END"
+                      for i, x in enumerate(primer, 1))
+
+
+def _sites(identity: float = 1.0) -> str:
+    """Primer places per pair, strand and side, and per left place the later right one with the fewest mismatches."""
     parts = []
     for pair, fwd, rev in (("P1", "ACGTR", "YACG"), ("P2", "GGNA", "TTRC")):
         for strand, left, right in (("+", fwd, _rc(rev)), ("-", rev, _rc(fwd))):
             for side, p in (("L", left), ("R", right)):
+                allowed = int((1 - identity) * len(p) + 1e-9)
                 parts.append(
                     f"SELECT seqid, '{pair}' AS pair, '{strand}' AS strand, '{side}' AS side, i AS pos, "
-                    f"{len(left)} AS llen, {len(right)} AS rlen FROM words "
-                    f"WHERE regexp_full_match(w[1:{len(p)}], '{_re(p)}')")
+                    f"{len(left)} AS llen, {len(right)} AS rlen, {_wrong(p)} AS wrong FROM words "
+                    f"WHERE length(w) >= {len(p)} AND {_wrong(p)} <= {allowed}")
+    best = ("min(CASE WHEN side = 'R' THEN wrong * 1000000000 + pos END) OVER (PARTITION BY seqid, pair, strand ORDER BY pos "
+            "RANGE BETWEEN {} FOLLOWING AND UNBOUNDED FOLLOWING)")
     return ("words AS (SELECT seqid, i, substring(seq, i, 5) AS w FROM seqs, unnest(range(1, length(seq) + 1)) t(i)),\n"
             "sites AS (" + "\nUNION ALL ".join(parts) + "),\n"
-            "near AS (SELECT *, min(CASE WHEN side = 'R' THEN pos END) OVER (PARTITION BY seqid, pair, strand ORDER BY pos "
-            "RANGE BETWEEN 4 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop4, "
-            "min(CASE WHEN side = 'R' THEN pos END) OVER (PARTITION BY seqid, pair, strand ORDER BY pos "
-            "RANGE BETWEEN 5 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop5 FROM sites),\n"
+            f"near AS (SELECT *, CASE WHEN llen = 4 THEN {best.format(4)} ELSE {best.format(5)} END AS stop FROM sites),\n"
             "hits AS (SELECT seqid, pair, strand, CAST(pos AS INTEGER) AS start, llen, rlen, "
-            "CAST(CASE WHEN llen = 4 THEN stop4 ELSE stop5 END + rlen - 1 AS INTEGER) AS \"end\" FROM near "
-            "WHERE side = 'L' AND CASE WHEN llen = 4 THEN stop4 ELSE stop5 END IS NOT NULL)")
+            "CAST(stop % 1000000000 + rlen - 1 AS INTEGER) AS \"end\", "
+            "CAST(wrong + stop // 1000000000 AS INTEGER) AS mismatches FROM near WHERE side = 'L' AND stop IS NOT NULL)")
 
 
 def _strand_cut(start: str, end: str) -> str:
@@ -356,16 +366,20 @@ def _strand_cut(start: str, end: str) -> str:
     return f"CASE WHEN strand = '-' THEN reverse(translate({piece}, 'ACGT', 'TGCA')) ELSE {piece} END"
 
 
-ORACLES["insilico_pcr"] = _with(SEQS, _sites()) + f"""SELECT seqid, pair, strand, start, "end",
-  "end" - start + 1 AS length, {_strand_cut('start', '"end"')} AS amplicon
-FROM hits JOIN seqs USING (seqid) WHERE "end" - start + 1 <= 10000"""
+ORACLES["insilico_pcr"] = _with(SEQS, _sites(), """products AS (
+  SELECT l.seqid, l.pair, l.strand, CAST(l.pos AS INTEGER) AS start, CAST(r.pos + l.rlen - 1 AS INTEGER) AS "end"
+  FROM sites l JOIN sites r ON l.seqid = r.seqid AND l.pair = r.pair AND l.strand = r.strand
+  WHERE l.side = 'L' AND r.side = 'R' AND r.pos >= l.pos + l.llen AND r.pos + l.rlen - l.pos <= 400)""") + f"""SELECT
+  seqid, pair, strand, start, "end", "end" - start + 1 AS length, {_strand_cut('start', '"end"')} AS amplicon
+FROM products JOIN seqs USING (seqid)"""
 ORACLES["primer_yield"] = _with(SEQS, _sites()) + """SELECT pair, (SELECT count(*) FROM seqs) AS sequences,
   count(DISTINCT seqid) AS amplified, round(100 * count(DISTINCT seqid) / (SELECT count(*) FROM seqs), 6) AS percentage
 FROM hits WHERE "end" - start + 1 <= 10000 GROUP BY pair"""
-ORACLES["extract_reads"] = _with(SEQS, _sites(), """best AS (
-  SELECT seqid, pair, strand, start + llen AS s, "end" - rlen AS e FROM hits
-  QUALIFY row_number() OVER (PARTITION BY seqid, pair ORDER BY strand, start) = 1)""") + f"""SELECT seqid, pair, strand,
-  CAST(0 AS INTEGER) AS mismatches, {_strand_cut('s', 'e')} AS read
+for _name, _identity in (("extract_reads", 1.0), ("extract_reads_tolerant", 0.8)):
+    ORACLES[_name] = _with(SEQS, _sites(_identity), """best AS (
+  SELECT seqid, pair, strand, mismatches, start + llen AS s, "end" - rlen AS e FROM hits
+  QUALIFY row_number() OVER (PARTITION BY seqid, pair ORDER BY mismatches, strand, start + llen, "end" - rlen) = 1)""") + f"""SELECT
+  seqid, pair, strand, mismatches, {_strand_cut('s', 'e')} AS read
 FROM best JOIN seqs USING (seqid) WHERE e - s + 1 >= 100"""
 
 _WORDS7 = """words AS (
@@ -379,8 +393,9 @@ ORACLES["nb_classify"] = _with(SEQS, _WORDS7, """profile AS (SELECT lang, kmer,
   GROUP BY seqid, lang)""",
   """scores AS (SELECT s.seqid, t.lang, s.total * t.base + coalesce(g.gain, 0) AS score
   FROM (SELECT seqid, sum(n) AS total FROM docs GROUP BY seqid) s CROSS JOIN totals t
-  LEFT JOIN gains g ON g.seqid = s.seqid AND g.lang = t.lang)""") + """SELECT seqid, lang AS label, round(score, 3) AS score
-FROM scores QUALIFY row_number() OVER (PARTITION BY seqid ORDER BY score DESC, lang DESC) = 1"""
+  LEFT JOIN gains g ON g.seqid = s.seqid AND g.lang = t.lang)""") + """SELECT seqid, label, score
+FROM seqs LEFT JOIN (SELECT seqid, lang AS label, round(score, 3) AS score
+  FROM scores QUALIFY row_number() OVER (PARTITION BY seqid ORDER BY score DESC, lang DESC) = 1) USING (seqid)"""
 ORACLES["ani_pairs"] = _with(SEQS, """hashed AS (
   SELECT genome, list_sort(list_distinct(list(left(md5(least(w, reverse(translate(w, 'ACGT', 'TGCA')))), 16))))[1:1000] AS hs
   FROM (SELECT source || '_' || (doc_id // 200) AS genome, substring(seq, i, 16) AS w

@@ -210,7 +210,7 @@ def exact_dedupe(spark, folder):
 
 @query
 def split_id(spark, folder):
-    return stats.split_id(b.contigs(spark, folder)).select("seqid", "assembly", "contig")
+    return stats.split_id(b.all_contigs(spark, folder)).select("seqid", "assembly", "contig")
 
 
 @query
@@ -225,12 +225,12 @@ def rank_explode_strain(spark, folder):
 
 @query
 def genome_length(spark, folder):
-    return stats.genome_length(b.contigs(spark, folder))
+    return stats.genome_length(b.all_contigs(spark, folder))
 
 
 @query
 def genome_length_stats(spark, folder):
-    out = stats.genome_length_stats(b.contigs(spark, folder), b.lineage(spark, folder))
+    out = stats.genome_length_stats(b.all_contigs(spark, folder), b.lineage(spark, folder))
     return _rounded(out, "genome_length_mean_all", "genome_length_mean_complete")
 
 
@@ -417,7 +417,8 @@ def consensus(spark, folder):
 
 @query
 def insilico_pcr(spark, folder):
-    return primers.insilico_pcr(_seqs(spark, folder), b.SHORT_PRIMERS)
+    """All products of up to 400 bases; primers of four or five bases have sites everywhere."""
+    return primers.insilico_pcr(_seqs(spark, folder), b.SHORT_PRIMERS, max_len=400)
 
 
 @query

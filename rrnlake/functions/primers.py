@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import deque
 
 import numpy as np
 import pandas as pd
@@ -51,10 +52,29 @@ def _sites(seq: str, codes: np.ndarray | None, primer: str, allowed: int, table:
     return at, wrong[at]
 
 
-def amplicons(seq: Column, primers: list[tuple[str, str, str]], max_len: int | None, min_identity: float) -> Column:
+def _least_in_reach(wrong: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each range first..last-1 the first place of the least value; either end grows with the index of the range."""
+    out, line, at = np.empty(len(first), np.int64), deque(), 0
+    for k, (low, high) in enumerate(zip(first.tolist(), last.tolist())):
+        while at < high:  # places in line have growing values
+            while line and wrong[line[-1]] > wrong[at]:
+                line.pop()
+            line.append(at)
+            at += 1
+        while line[0] < low:
+            line.popleft()
+        out[k] = line[0]
+    return out
+
+
+def amplicons(
+    seq: Column, primers: list[tuple[str, str, str]], max_len: int | None, min_identity: float, pick: str = "all"
+) -> Column:
     """Array of amplicon places (1-based, closed, with primers) of every primer pair on both strands.
 
-    Each left site makes one product, with the nearest right site after it.
+    A left site goes with right sites that begin behind it and, with max_len, end in reach. pick is `all` for each of
+    them, `nearest` for the first, `best` for the one with the fewest mismatches, the first of equals. Letter case does
+    not count.
     """
     plans = []
     for pair, fwd, rev in primers:
@@ -78,17 +98,29 @@ def amplicons(seq: Column, primers: list[tuple[str, str, str]], max_len: int | N
                     lookup[ord(letter)] = _bits(letter, table)[0]
         out = []
         for seq in batch:
+            seq = seq.upper()
             codes = lookup[np.frombuffer(seq.encode(), np.uint8)] if fuzzy else None
             rows = []
             for pair, strand, a, b, a_re, b_re in ready:
                 starts, wrong_a = _sites(seq, codes, a[0], a[1], table, a_re)
                 stops, wrong_b = _sites(seq, codes, b[0], b[1], table, b_re)
-                nearest = np.searchsorted(stops, starts + len(a[0]))
-                for s, w, j in zip(starts, wrong_a, nearest):
-                    if j < len(stops):
-                        end = int(stops[j]) + len(b[0])
-                        if max_len is None or end - s <= max_len:
-                            rows.append((pair, strand, int(s) + 1, end, len(a[0]), len(b[0]), int(w + wrong_b[j])))
+                first = np.searchsorted(stops, starts + len(a[0]))
+                if max_len is None:
+                    last = np.full(len(starts), len(stops))
+                else:
+                    last = np.searchsorted(stops, starts + max_len - len(b[0]), "right")
+                if pick == "all":
+                    count = np.maximum(last - first, 0)
+                    left = np.repeat(np.arange(len(starts)), count)
+                    right = np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+                else:
+                    left = np.flatnonzero(first < last)
+                    right = first[left]
+                    if pick == "best":
+                        right = _least_in_reach(wrong_b, right, last[left])
+                ends, wrong = stops[right] + len(b[0]), wrong_a[left] + wrong_b[right]
+                rows += [(pair, strand, x + 1, y, len(a[0]), len(b[0]), w)
+                         for x, y, w in zip(starts[left].tolist(), ends.tolist(), wrong.tolist())]
             out.append(rows)
         return pd.Series(out)
 

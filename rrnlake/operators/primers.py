@@ -25,8 +25,8 @@ MIN_IDENTITY = 0.8  # share of primer positions that must match when reads are e
 def insilico_pcr(seqs: DataFrame, primers=PRIMER_PAIRS, max_len: int = MAX_AMPLICON) -> DataFrame:
     """Amplicons of exact (degenerate) primer matches on both strands.
 
-    One row per left primer site with a right site in reach; the amplicon reads
-    in primer direction.
+    One row per left primer site and right site in reach; the amplicon reads in
+    primer direction.
     """
     hits = seqs.select("seqid", "seq", F.explode(amplicons(F.col("seq"), primers, max_len, 1.0)).alias("h"))
     return hits.select(
@@ -39,7 +39,7 @@ def insilico_pcr(seqs: DataFrame, primers=PRIMER_PAIRS, max_len: int = MAX_AMPLI
 def primer_yield(seqs: DataFrame, primers=PRIMER_PAIRS, max_len: int = MAX_AMPLICON) -> DataFrame:
     """Sequences, amplified sequences and their share in percent per primer pair."""
     names = F.array(*[F.lit(p[0]) for p in primers])
-    hits = seqs.select(F.transform(amplicons(F.col("seq"), primers, max_len, 1.0), lambda h: h["pair"]).alias("found"))
+    hits = seqs.select(F.transform(amplicons(F.col("seq"), primers, max_len, 1.0, "nearest"), lambda h: h["pair"]).alias("found"))
     each = hits.select("found", F.explode(names).alias("pair"))
     counts = each.groupBy("pair").agg(
         F.count("*").alias("sequences"), F.count_if(F.array_contains("found", F.col("pair"))).alias("amplified")
@@ -52,11 +52,11 @@ def extract_reads(
 ) -> DataFrame:
     """The region between the primers, one read per sequence and pair.
 
-    The product with the fewest primer mismatches is taken, then the plus
-    strand, then the leftmost. Primers are trimmed before the length test.
+    Of all pairs of a left and a later right site the one with the fewest primer
+    mismatches is taken, then the plus strand, then the leftmost start and end. Primers are trimmed before the length test.
     """
     best = F.transform(
-        amplicons(F.col("seq"), primers, None, min_identity),
+        amplicons(F.col("seq"), primers, None, min_identity, "best"),
         lambda h: F.struct(
             h["pair"].alias("pair"), h["mismatches"].alias("mismatches"), h["strand"].alias("strand"),
             (h["start"] + h["left_len"]).alias("start"), (h["end"] - h["right_len"]).alias("end"),

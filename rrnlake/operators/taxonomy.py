@@ -254,11 +254,14 @@ def lineage_resolve(taxids: DataFrame, nodes: DataFrame, names: DataFrame, merge
 
 
 def lineage_format(resolved: DataFrame) -> DataFrame:
-    """Resolved paths to prefixed lineages of eight ranks, k__ to t__."""
+    """Resolved paths to prefixed lineages of eight ranks, k__ to t__; NULL for an unresolved taxid.
+
+    t__ is the strain, or the subspecies where there is no strain.
+    """
     # Rank of each lineage place, with the names a dump may use for it.
     places = (
         ("k", ("superkingdom", "domain")), ("p", ("phylum",)), ("c", ("class",)), ("o", ("order",)),
-        ("f", ("family",)), ("g", ("genus",)), ("s", ("species",)), ("t", ("strain",)),
+        ("f", ("family",)), ("g", ("genus",)), ("s", ("species",)), ("t", ("subspecies", "strain")),
     )
 
     def place(letter: str, ranks: tuple[str, ...]) -> Column:
@@ -266,4 +269,5 @@ def lineage_format(resolved: DataFrame) -> DataFrame:
         name = F.coalesce(F.try_element_at(hits, F.lit(-1))["name"], F.lit(""))
         return F.concat(F.lit(f"{letter}__"), name)
 
-    return resolved.withColumn("lineage", F.concat_ws(SEP, *[place(*p) for p in places]))
+    text = F.concat_ws(SEP, *[place(*p) for p in places])
+    return resolved.withColumn("lineage", F.when(F.size("path") > 0, text))

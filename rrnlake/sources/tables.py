@@ -44,15 +44,19 @@ def read_lineage(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parse_lineage(spark.read.text(paths))
 
 
-def write_lineage_union(spark: SparkSession, archaea: str, bacteria: str, path: str) -> None:
-    """Archaea lines, then the bacteria lines without their first row, as one file set.
-
-    The first row goes although the files have no header: the reference data set
-    is built this way.
+def write_lineage_union(
+    spark: SparkSession, archaea: str, bacteria: str, path: str, drop_assembly: str | None = None
+) -> None:
+    """Archaea lines, then bacteria lines, as one file set.
+
+    The lineage files have no header, so every line is a genome. drop_assembly
+    leaves out the bacteria line of that first column, as the original data set
+    does with the first genome of its file.
     """
-    tail = spark.read.text(bacteria).withColumn("_at", F.monotonically_increasing_id())
-    tail = tail.filter("_at > 0").select("value")
-    spark.read.text(archaea).unionByName(tail).write.mode("overwrite").text(path)
+    lines = spark.read.text(bacteria)
+    if drop_assembly is not None:
+        lines = lines.filter(F.substring_index("value", "\t", 1) != drop_assembly)
+    spark.read.text(archaea).unionByName(lines).write.mode("overwrite").text(path)
 
 
 def _dump(spark: SparkSession, path: str, places: dict[str, int]) -> DataFrame:
@@ -106,8 +110,6 @@ def uc_lines(records: DataFrame) -> DataFrame:
 
 
 def read_primers(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
-    """Primer pairs (name, forward, reverse) from a small TSV of at most 1,000 lines."""
-    rows = spark.read.text(path).select(*_cells("value", {"pair": 1, "fwd": 2, "rev": 3})).take(1001)
-    if len(rows) > 1000:
-        raise ValueError("a primer file lists pairs to test, not data; more than 1,000 lines found")
+    """Primer pairs (name, forward, reverse) from a TSV: they are parameters of a plan, so they are read to the driver."""
+    rows = spark.read.text(path).select(*_cells("value", {"pair": 1, "fwd": 2, "rev": 3})).collect()
     return [(r.pair, r.fwd, r.rev) for r in rows]

@@ -29,9 +29,7 @@ def products(seq, fwd, rev, identity):
         stops = sites(seq, right, int((1 - identity) * len(right) + 1e-9))
         for i, w in sites(seq, left, int((1 - identity) * len(left) + 1e-9)):
             after = [(j, v) for j, v in stops if j >= i + len(left)]
-            if after:
-                j, v = min(after)
-                out.append((w + v, strand, i, j + len(right), len(left), len(right)))
+            out += [(w + v, strand, i, j + len(right), len(left), len(right)) for j, v in after]
     return out
 
 
@@ -51,6 +49,23 @@ def test_pcr(spark):
     assert shares == {p: len({w[0] for w in want if w[1] == p}) for p in ("P", "Q")}
 
 
+def test_the_better_far_site_wins(spark):
+    rng = random.Random(11)
+    fwd, rev = "ACGTACGTACGTACG", "TTGGCCAATTGGCCA"
+    near = list(reverse_complement_text(rev))
+    for i in (2, 7, 11):
+        near[i] = "A" if near[i] != "A" else "C"
+    filler = lambda n: "".join(rng.choice("AG") for _ in range(n))
+    seq = filler(50) + fwd + filler(500) + "".join(near) + filler(1500) + reverse_complement_text(rev) + filler(50)
+    df = spark.createDataFrame([("s", seq), ("low", seq.lower())], "seqid string, seq string")
+    for least in (100, 1000):
+        rows = primers.extract_reads(df, [("P", fwd, rev)], min_len=least).collect()
+        assert [(len(r.read), r.mismatches) for r in rows] == [(2015, 0)] * 2
+    both = seq[:600].replace("".join(near), "") + reverse_complement_text(rev) + filler(300) + reverse_complement_text(rev)
+    found = primers.insilico_pcr(spark.createDataFrame([("s", both)], "seqid string, seq string"), [("P", fwd, rev)]).count()
+    assert found == 2
+
+
 def test_reads_with_mismatches(spark):
     rows = random_seqs(2, 20, 50, 400)
     df = spark.createDataFrame(rows, "seqid string, seq string")

@@ -31,9 +31,10 @@ def test_query_equals_sql(spark, con, small, name):
 
 def test_twins_belong_to_queries():
     from rrnlake.catalog.oracles import ORACLES
+    from rrnlake.catalog.queries import QUERIES
     assert set(ORACLES) <= set(entry.queries())
-    assert set(entry.queries()) - set(ORACLES) == {
-        "similarity_pairs", "greedy_clusters", "novel_only_merge", "consensus", "extract_reads_tolerant"}
+    assert set(QUERIES) - set(ORACLES) == {
+        "similarity_pairs", "greedy_clusters", "novel_only_merge", "consensus"}
 
 
 def test_entry(spark):

@@ -61,7 +61,9 @@ def test_tables(spark, tmp_path):
     bac = put(tmp_path / "ba.tsv", "RS_GCF_2.1\td__X\nGB_GCA_3.12\td__B;p__C\n")
     tables.write_lineage_union(spark, arc, bac, str(tmp_path / "tax"))
     got = {(r.assembly, r.lineage) for r in tables.read_lineage(spark, str(tmp_path / "tax")).collect()}
-    assert got == {("GCF_1", "d__A|p__B"), ("GCA_3", "d__B|p__C")}
+    assert got == {("GCF_1", "d__A|p__B"), ("GCF_2", "d__X"), ("GCA_3", "d__B|p__C")}
+    tables.write_lineage_union(spark, arc, bac, str(tmp_path / "less"), drop_assembly="RS_GCF_2.1")
+    assert {r.assembly for r in tables.read_lineage(spark, str(tmp_path / "less")).collect()} == {"GCF_1", "GCA_3"}
 
     uc = put(tmp_path / "c.uc", "S\t0\t9\t*\t*\t*\t*\t*\tC_1\t*\nH\t0\t8\t99.9\t+\t0\t0\t=\tC_2\tC_1\nC\t0\t2\t*\t*\t*\t*\t*\tC_1\t*\n")
     assert [tuple(r) for r in tables.read_uc(spark, uc).collect()] == [

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -170,7 +171,7 @@ class _Memory:
 
     def __post_init__(self):
         self.places: dict[str, int] = {}
-        self.scores, self.gaps, self.ids, self.texts = [], [], [], []
+        self.scores, self.gaps, self.ids, self.texts = array("d"), array("d"), [], []
         self.lists: dict[str, list] = {}
         self.long: list[str] = []
 

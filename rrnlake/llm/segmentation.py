@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import sys
+import types
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,8 +21,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# Executors need no copy of this package: the helpers travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -208,16 +214,16 @@ class _Memory:
         self.long = []
 
 
-_MEMORIES: dict[tuple[bytes, int], _Memory] = {}
-
-
 def _memory(model: bytes, n: int) -> _Memory:
-    """One memory per Python worker, which runs many tasks."""
+    """One memory per Python worker, which runs many tasks.
+
+    It hangs on a module made for it, since this one comes anew with each task.
+    """
+    keep = sys.modules.setdefault("rrnlake_segmentation_memory", types.ModuleType("rrnlake_segmentation_memory"))
     key = (hashlib.sha256(model).digest(), n)
-    if key not in _MEMORIES:
-        _MEMORIES.clear()
-        _MEMORIES[key] = _Memory(PieceLattice(model), n)
-    return _MEMORIES[key]
+    if getattr(keep, "key", None) != key:
+        keep.key, keep.memory = key, _Memory(PieceLattice(model), n)
+    return keep.memory
 
 
 def encode_text(memory: _Memory, text: str | None) -> tuple[list[int], list[tuple[float, list]]]:

@@ -75,9 +75,9 @@ class Clusters:
 def _representatives(rows: DataFrame) -> DataFrame:
     """One row per distinct sequence, numbered in scan order."""
     folded = rows.groupBy("digest").agg(
-        F.min(F.struct("priority", "seqid", "seq")).alias("r"), F.count("*").alias("copies")
+        F.min(F.struct("priority", "seqid")).alias("r"), F.any_value("seq").alias("seq"), F.count("*").alias("copies")
     )
-    reps = folded.select("digest", "r.*", "copies").withColumn("length", F.octet_length("seq"))
+    reps = folded.select("digest", "r.*", "seq", "copies").withColumn("length", F.octet_length("seq"))
     return dense_index(reps, [F.col("priority"), F.col("length").desc(), F.col("seqid")], "place")
 
 

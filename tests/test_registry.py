@@ -6,13 +6,11 @@ import pytest
 import __spark_entry__ as entry
 from check_oracles import TABLES, compare
 from rrnlake.catalog import bindings as b
+from rrnlake.catalog.oracles import ORACLES
+from rrnlake.catalog.queries import QUERIES
 from rrnlake.operators import operons, stats, taxonomy
 
-NAMES = [
-    "fasta_scan", "gff_scan", "assembly_lookup", "operon_qc", "copy_number_stats", "genome_length_stats",
-    "tax_combined", "lineage_resolve", "extract_operons", "exact_dedupe", "insilico_pcr", "extract_reads",
-    "nb_classify", "ani_pairs",
-]
+NAMES = sorted(ORACLES)
 
 
 @pytest.fixture(scope="module")
@@ -30,8 +28,6 @@ def test_query_equals_sql(spark, con, small, name):
 
 
 def test_twins_belong_to_queries():
-    from rrnlake.catalog.oracles import ORACLES
-    from rrnlake.catalog.queries import QUERIES
     assert set(ORACLES) <= set(entry.queries())
     assert set(QUERIES) - set(ORACLES) == {
         "similarity_pairs", "greedy_clusters", "novel_only_merge", "consensus"}

@@ -86,14 +86,18 @@ def minimizers(seq: Column, k: int, w: int) -> Column:
     return F.pandas_udf(run, _KEYS)(seq)
 
 
-def anchor_span(identity: float, shortest: int, longest: int, floor: int = 64) -> int:
+def anchor_span(identity: float, shortest: int, longest: int) -> int:
     """Longest exact stretch that any two matching sequences are sure to share.
 
     With at most d = floor((1-t)L) edits on L bases, some stretch of
-    ceil((L-d)/(d+1)) bases is unchanged. The bound is not monotone in L, so the
-    smallest value over the lengths present is taken. Sequences under `floor`
-    are outside it and cluster on equality only.
+    ceil((L-d)/(d+1)) bases is unchanged. For a given d that is least at the
+    first length with so many edits, so only those lengths are looked at.
     """
-    lengths = np.arange(max(shortest, floor), max(longest, floor) + 1)
-    edits = np.floor((1 - identity) * lengths + 1e-9).astype(np.int64)
-    return int((-(-(lengths - edits) // (edits + 1))).min())
+    def stretch(length: int) -> int:
+        edits = int(np.floor((1 - identity) * length + 1e-9))
+        return -(-(length - edits) // (edits + 1))
+
+    most = int(np.floor((1 - identity) * longest + 1e-9))
+    first = (int(np.ceil((d - 1e-9) / (1 - identity))) for d in range(1, most + 1)) if identity < 1 else ()
+    near = {n + o for n in first for o in (-1, 0, 1)} | {shortest}
+    return min(stretch(n) for n in near if shortest <= n <= longest)

@@ -22,6 +22,7 @@ Work is kept near linear without losing a match:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -31,7 +32,9 @@ from rrnlake.plans.durable import durable
 from rrnlake.plans.ordering import dense_index
 from rrnlake.plans.sizing import spread
 
-FLOOR = 64  # shorter sequences cluster on equality only
+# Lengths from which a class of sequences has words of its own size: the stretch that two matching sequences surely share
+# depends on the shortest of a class.
+CLASSES = (1, 8, 16, 32, 64)
 MAX_K = 31
 LOW_K = 20
 MAX_W = 34
@@ -82,29 +85,48 @@ def _representatives(rows: DataFrame) -> DataFrame:
 
 
 def _anchors(reps: DataFrame, identity: float) -> tuple[DataFrame, DataFrame]:
-    """(probes, index): keys a sequence must be found by, and all places of those keys."""
-    sized = reps.filter(F.col("length") >= FLOOR)
-    low, high = sized.agg(F.min("length"), F.max("length")).first()
-    span = anchor_span(identity, low or FLOOR, high or FLOOR, FLOOR)
+    """(probes, index): keys a sequence must be found by, and all places of those keys.
+
+    A sequence is found in longer ones by the words of its own length class, so each class that has sequences sketches
+    them and all longer ones. Empty sequences cluster on equality only.
+    """
+    ends = [*CLASSES[1:], None]
+    of = [F.col("length") >= low if end is None else F.col("length").between(low, end - 1) for low, end in zip(CLASSES, ends)]
+    seen = reps.agg(*[f(F.when(c, F.col("length"))) for c in of for f in (F.min, F.max)]).first()
+    parts = [
+        _class_anchors(reps, identity, number, seen[2 * number], seen[2 * number + 1], end)
+        for number, end in enumerate(ends) if seen[2 * number] is not None
+    ]
+    if not parts:
+        none = reps.limit(0).select("place", F.lit(0).cast("bigint").alias("key"))
+        return none, none
+    return reduce(DataFrame.unionAll, [p for p, _ in parts]), reduce(DataFrame.unionAll, [i for _, i in parts])
+
+
+def _class_anchors(reps: DataFrame, identity: float, number: int, low: int, high: int, end: int | None) -> tuple[DataFrame, DataFrame]:
+    sized = reps.filter(F.col("length") >= low)
+    span = anchor_span(identity, low, high)
     # An edit touches the minimizers of 2w+k-2 places: small words for low identities.
     k = min(MAX_K if identity >= 0.995 else LOW_K, max(1, span * 2 // 3))
     w = max(1, min(MAX_W, int(0.05 / max(1 - identity, 1e-9)), span - k + 1))
     limit = F.floor(F.lit(1 - identity) * F.col("length") + F.lit(1e-9))
+    own = F.lit(True) if end is None else F.col("length") < end
     sketched = durable(
         spread(sized.select("place", "length", "seq"), "place")
-        .select("place", limit.alias("limit"), minimizers(F.col("seq"), k, w).alias("m"))
+        .select("place", own.alias("own"), limit.alias("limit"), minimizers(F.col("seq"), k, w).alias("m"))
         .select(
-            "place",
+            "place", "own",
             (F.size("m.keys") - (F.col("limit") * F.col("m.density") + 1)).alias("spare"),
             F.explode("m.keys").alias("key"),
         )
+        .withColumn("key", F.xxhash64(F.lit(number), "key"))
     )
     shared = sketched.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     # `spare` keys need not be looked at: the most common ones of each sequence.
     # A sequence has at most its own length of keys, so this window is bounded.
     commonest = Window.partitionBy("place").orderBy(F.col("n").desc(), "key")
     probes = durable(
-        sketched.join(shared, "key")
+        sketched.filter("own").join(shared, "key")
         .withColumn("r", F.row_number().over(commonest))
         .filter(F.col("r") > F.col("spare"))
         .select("place", "key")
@@ -130,6 +152,10 @@ def _verify(pairs: DataFrame, reps: DataFrame, identity: float) -> DataFrame:
     left = reps.select("place", F.col("seq").alias("_a"))
     right = reps.select(F.col("place").alias("centroid_place"), F.col("seq").alias("_b"))
     joined = pairs.join(left, "place").join(right, "centroid_place")
+    # Where no edit is allowed the shorter one must occur as it is, which needs no Python.
+    short = F.least(F.octet_length("_a"), F.octet_length("_b"))
+    a_in_b = F.when(F.octet_length("_a") <= F.octet_length("_b"), F.contains("_b", F.col("_a"))).otherwise(F.contains("_a", F.col("_b")))
+    joined = joined.filter((F.floor(F.lit(1 - identity) * short + F.lit(1e-9)) > 0) | a_in_b)
     compared = joined.withColumn("v", compare_pairs("_a", "_b", F.lit(identity)))
     return compared.filter("v.edits >= 0").select("place", "centroid_place", "v.edits", "v.offset")
 

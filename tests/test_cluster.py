@@ -55,8 +55,6 @@ def make_sequences(seed, families=12, members=9):
 
 def match(a, b, identity):
     """Edits if the two match, else None."""
-    if min(len(a), len(b)) < cluster.FLOOR:
-        return 0 if a == b else None
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     limit = int((1 - identity) * len(short) + 1e-9)
     edits = infix_edits(short.encode(), long.encode(), limit)  # checked against edit_table below

@@ -130,12 +130,13 @@ def repeated_stretches(docs: DataFrame, rules: LineRules = LineRules()) -> DataF
         around = F.sequence(F.greatest(p - (most - 1), F.lit(0)), p)
         return F.filter(around, lambda i: (F.get("marks", i).cast("int") == p - i) & (alone(i) == m % 2))
 
-    near = near.select("_id", "_x", "h", "n", "n2", "n4", "ahead", F.flatten(F.transform("live", starts_of)).alias("starts"))
+    behind = F.transform(F.sequence(F.lit(0), last), lambda j: _reach(j, -1, rules))
+    near = near.select("_id", "_x", "h", "ahead", behind.alias("behind"), F.flatten(F.transform("live", starts_of)).alias("starts"))
 
     # A stretch back to a line holds the forward stretch from there, so it repeats only where that one is live.
     def ends_of(i: Column) -> Column:
         around = F.sequence(i, F.least(i + (most - 1), last))
-        back = F.filter(around, lambda j: _reach(j, -1, rules).cast("int") == j - i + 1)
+        back = F.filter(around, lambda j: F.get("behind", j).cast("int") == j - i + 1)
         return F.transform(back, lambda j: i * SPAN + (j - i + 1))
 
     forward = F.transform("starts", lambda i: i * SPAN + F.get("ahead", i).cast("int"))

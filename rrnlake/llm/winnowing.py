@@ -89,8 +89,12 @@ def fingerprints(docs: DataFrame, rules: WinnowRules = WinnowRules()) -> DataFra
 
 
 def matches(prints: DataFrame) -> DataFrame:
-    """(hash, doc_id, pos, first_id, first_pos): every later mark with the first one of its hash."""
-    rows = prints.select("doc_id", F.explode("marks").alias("_m")).select("doc_id", "_m.hash", "_m.pos")
+    """(hash, doc_id, pos, first_id, first_pos): every later mark with the first one of its hash. Runs a job.
+
+    Marks are written first: the optimizer would push a test of their arrays into the steps that make them, and have them
+    made again for each element.
+    """
+    rows = staged(prints, "marks").select("doc_id", F.explode("marks").alias("_m")).select("doc_id", "_m.hash", "_m.pos")
     first = rows.groupBy("hash").agg(F.min(F.struct("doc_id", "pos")).alias("_f"), F.count("*").alias("_n")).filter("_n > 1")
     return rows.join(first, "hash").select(
         "hash", "doc_id", "pos", F.col("_f.doc_id").alias("first_id"), F.col("_f.pos").alias("first_pos")

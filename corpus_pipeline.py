@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rrnlake.llm import linedup, mixing, quality, segmentation, simhash
+from rrnlake.llm import linedup, mixing, quality, segmentation, similar
 from rrnlake.llm.common import staged, table
 
 
@@ -24,8 +24,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, on shingles of five words."""
-    return simhash.keep_one(docs, shingle=5)
+    """One document of each group of near copies: Jaccard similarity of 0.8 or more on shingles of five words."""
+    return similar.keep_one_similar(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,19 +38,24 @@ def pivots(count: int = 32) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(str(i), SEED) for i in range(count)], dtype=np.uint64)
 
 
-def simhash(text: str | None, shingle: int = 3) -> int:
-    """64-bit SimHash over word shingles, repeats included, as an unsigned number; 0 without words."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of the word shingles, repeats included; of all words where there are no more than `shingle`."""
     words = (text or "").encode("utf-8", "replace").lower().split()  # bytes: A-Z only, ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], dtype=np.uint64)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(words) - shingle + 1].tolist()
     view, digest = memoryview(joined), xxhash.xxh64_intdigest
-    hashes = np.array([digest(view[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :].tolist())], dtype="<u8")
+    return np.array([digest(view[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :].tolist())], dtype="<u8")
+
+
+def _bits(hashes: np.ndarray) -> int:
+    if not len(hashes):
+        return 0
     counts = np.zeros(BITS, np.int64)
     for k in range(0, len(hashes), AT_ONCE):
         part = hashes[k : k + AT_ONCE]
@@ -58,6 +63,11 @@ def simhash(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def simhash(text: str | None, shingle: int = 3) -> int:
+    """64-bit SimHash over word shingles, repeats included, as an unsigned number; 0 without words."""
+    return _bits(shingle_hashes(text, shingle))
+
+
 def fingerprint(text: Column, shingle: int = 3) -> Column:
     """simhash() as a signed long."""
 
@@ -132,11 +142,26 @@ def near_duplicates(docs: DataFrame, most: int = LEAST, shingle: int = 3) -> Dat
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, most: int = LEAST, shingle: int = 3) -> DataFrame:
-    """The rows of docs, with all their columns, that are the first of their component; a repeated row stays once.
+def _first_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of docs that are the first, by doc_id and then hash of text, of their `root` in rows (doc_id, _x, root).
 
-    Documents with a null id are kept as they are.
+    Rows equal in doc_id and text stay once, the least in all columns; those with a null id all stay.
     """
-    firsts = near_duplicates(docs, most, shingle).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionAll(docs.filter("doc_id IS NULL"))
+    firsts = rows.filter("doc_id IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "_x")).alias("_f"))
+    firsts = firsts.select(F.col("_f.doc_id").alias("__id"), F.col("_f._x").alias("__x"))
+    keyed = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__a"), _text_hash().alias("__b"))
+    kept = keyed.join(firsts, (F.col("__a") == F.col("__id")) & (F.col("__b") == F.col("__x")), "left_semi")
+    kept = kept.groupBy("__a", "__b").agg(F.min("__row").alias("__row")).select("__row.*")
+    return kept.unionAll(docs.filter("doc_id IS NULL"))
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def keep_one(docs: DataFrame, most: int = LEAST, shingle: int = 3) -> DataFrame:
+    """The rows of docs, with all their columns, that are the first of their component; see _first_rows."""
+    rows = staged(docs.select("doc_id", _text_hash().alias("_x"), fingerprint(F.col("text"), shingle).alias("fp")), "simhash")
+    roots = components(linked_prints(staged(rows.select("fp").distinct(), "prints"), most))
+    named = rows.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+    return _first_rows(docs, named)

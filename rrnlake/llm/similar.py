@@ -1,0 +1,153 @@
+"""Near copies by exact Jaccard similarity of word shingles, with candidates from SimHash and from bands of minima.
+
+Documents with equal shingle sets fold to one node. SimHashes within three bits, filtered by pivots, give the first
+candidates. They reach few pairs of sets that differ, so every node also has 20 bands of five minima (MinHash): two sets
+of Jaccard similarity s share a band with the chance 1 - (1 - s^5)^20, that is 0.9996 at 0.8 and more above. Every
+candidate is verified on its shingles. Nodes already linked by others are not compared again: each node first meets the
+least node of its bands, then one node of each group linked so far, then 32 of each, then all that are still apart.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window, functions as F
+
+from rrnlake.llm import simhash
+from rrnlake.llm.common import staged
+from rrnlake.llm.components import components
+
+# Executors need no copy of this package: the helpers travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BANDS, MINIMA = 20, 5
+SHINGLE, SIMILAR = 5, 0.8
+HEADS = (1, 32, None)  # nodes of each group of a band that the others meet, by round; None: all
+AT_ONCE = 1 << 11  # shingles whose minima are taken at once
+OUT_ROWS = 500
+_DRAWN = np.random.default_rng(42).integers(1 << 63, size=(2, BANDS * MINIMA), dtype=np.uint64)
+_XOR, _ODD = _DRAWN[0][:, None], _DRAWN[1][:, None] * np.uint64(2) + np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One key per band of a set of hashes, as signed longs; a set without any has equal keys too."""
+    least = np.full(BANDS * MINIMA, np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(hashes), AT_ONCE):
+        np.minimum(least, ((hashes[k : k + AT_ONCE] ^ _XOR) * _ODD).min(axis=1), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, MINIMA).T:
+        keys = (keys ^ column) * _MIX
+        keys ^= keys >> np.uint64(29)
+    return keys.view(np.int64)
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted arrays without repeats; two empty sets are equal."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, _x (hash of the text), fp (SimHash), node (hash of the shingle set), size (of the set), keys (of the bands)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(at, OUT_ROWS)
+                prints, nodes, sizes, keys = [], [], [], []
+                for text in part.column(2).to_pylist():
+                    hashes = simhash.shingle_hashes(text, shingle)
+                    own = np.unique(hashes)
+                    prints.append(simhash._bits(hashes))
+                    nodes.append(simhash.xxhash.xxh64_intdigest(own.tobytes(), simhash.SEED))
+                    sizes.append(len(own))
+                    keys.append(band_keys(own))
+                lists = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * BANDS, np.concatenate(keys))
+                signed = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (prints, nodes)]
+                columns = [part.column(0), part.column(1), *signed, pa.array(sizes, pa.int32()), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_x", "fp", "node", "size", "keys"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), simhash._text_hash().alias("_x"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, _x bigint, fp bigint, node bigint, size int, keys array<bigint>")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets are at least that similar."""
+
+    @F.pandas_udf("boolean")
+    def close(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            one = [jaccard(*(np.unique(simhash.shingle_hashes(t, shingle)) for t in both)) for both in zip(left, right)]
+            yield pd.Series(np.array(one, float) >= least - 1e-12)
+
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("_a"), F.col("size").alias("_m"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("_b"), F.col("size").alias("_n"))
+    sized = F.least("_m", "_n") >= F.greatest("_m", "_n") * F.lit(least) - F.lit(1e-9)
+    narrow = pairs.join(left.drop("_a"), "a").join(right.drop("_b"), "b").filter(sized).select("a", "b")
+    return narrow.join(left.drop("_m"), "a").join(right.drop("_n"), "b").filter(close("_a", "_b")).select("a", "b")
+
+
+def _named(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Add root, the least node linked with each node."""
+    roots = components(links).select(F.col("node").alias("_node"), "root")
+    return nodes.join(roots, F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("_node")
+
+
+def similar_rows(docs: DataFrame, least: float = SIMILAR, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, _x (hash of the text) and root of every document: equal roots are one component of the links. Runs jobs.
+
+    Two documents link at a Jaccard similarity of at least `least` of their sets of word shingles; a text with no more words
+    than a shingle is one shingle. Documents without words link with each other.
+    """
+    sketches = staged(_sketches(docs, shingle), "sketches")
+    # Rows of a node have the same keys and size. A node has a SimHash per count of repeats; each stands for it.
+    prints = sketches.select("fp", "node").distinct()
+    ends = prints.groupBy("fp").agg(F.min("node").alias("first"))
+    ends = staged(ends, "prints")
+    near = simhash.linked_prints(ends.select("fp"))
+    met = near.join(ends.toDF("a", "_a"), "a").join(ends.toDF("b", "_b"), "b").select("_a", "_b")
+    pairs = met.union(prints.join(ends, "fp").select("first", "node")).toDF("a", "b")
+
+    one = sketches.groupBy("node").agg(F.any_value("keys").alias("keys"))
+    each = one.select("node", F.explode("keys").alias("key"))
+    shared = each.groupBy("key").agg(F.count("*").alias("_n"), F.min("node").alias("head")).filter("_n > 1").drop("_n")
+    bands = staged(each.join(shared, "key"), "bands")
+    pairs = pairs.union(bands.groupBy("node").agg(F.min("head")).toDF("b", "a").select("a", "b"))
+    # Only the texts that any candidate needs are read again.
+    live = bands.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    wanted = sketches.join(live, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "_x")).alias("_f"), F.any_value("size").alias("size"))
+    wanted = wanted.select("node", "size", F.col("_f.doc_id").alias("__a"), F.col("_f._x").alias("__b"))
+    source = docs.select(F.col("doc_id").cast("bigint").alias("_d"), simhash._text_hash().alias("_h"), "text").withColumn("_e", F.coalesce("_d", F.lit(0)))
+    found = wanted.withColumn("__e", F.coalesce("__a", F.lit(0))).join(
+        source, (F.col("__e") == F.col("_e")) & (F.col("__b") == F.col("_h")) & F.col("__a").eqNullSafe(F.col("_d")))
+    texts = staged(found.groupBy("node", "size").agg(F.min("text").alias("text")), "texts")
+
+    def distinct_pairs(rows: DataFrame) -> DataFrame:
+        return rows.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    tested = staged(distinct_pairs(pairs), "pairs")
+    links = staged(_verified(tested, texts, least, shingle), "links")
+    for heads in HEADS:
+        # Bands whose nodes are in one component have nothing left to find.
+        rooted = _named(bands.select("key", "node"), links)
+        apart = rooted.groupBy("key").agg(F.min("root").alias("_r"), F.max("root").alias("_s")).filter("_r <> _s").select("key")
+        open_ = staged(rooted.join(apart, "key", "left_semi"), "open")
+        order = Window.partitionBy("key", "root").orderBy("node")
+        firsts = open_ if heads is None else open_.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= heads)
+        firsts = firsts.select("key", F.col("node").alias("a"), F.col("root").alias("_r"))
+        new = open_.join(firsts, "key").filter(F.col("root") != F.col("_r")).select("a", F.col("node").alias("b"))
+        fresh = staged(distinct_pairs(new).join(tested, ["a", "b"], "left_anti"), "pairs")
+        links = staged(links.union(_verified(fresh, texts, least, shingle)), "links")
+        tested = tested.union(fresh)
+    return _named(sketches.select("doc_id", "_x", "node"), links).select("doc_id", "_x", "root")
+
+
+def keep_one_similar(docs: DataFrame, least: float = SIMILAR, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs, with all their columns, that are the first of their component; see simhash._first_rows."""
+    return simhash._first_rows(docs, similar_rows(docs, least, shingle))

@@ -1,0 +1,50 @@
+from itertools import combinations
+
+import numpy as np
+
+import corpus_pipeline
+from rrnlake.llm import simhash, similar
+from tests.llm.helpers import HARD, clashing, docs
+from tests.llm.test_lines_simhash_quality import roots
+
+
+def shingles(text, k=5):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} or ({tuple(words)} if words else set())
+
+
+def kept_ids(rows):
+    """Ids of the first document of each component of all pairs at Jaccard 0.8 or more."""
+    sets = [shingles(t) for _, t in rows]
+    close = [(i, j) for i, j in combinations(range(len(rows)), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    find = roots(close, range(len(rows)))
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[find[i]] = min(least.get(find[i], doc_id), doc_id)
+    return sorted(least.values())
+
+
+def changed(words, made, n):
+    out = list(words)
+    for at in made.choice(len(words), n, replace=False):
+        out[at] = "changed%d" % made.integers(1 << 30)
+    return " ".join(out)
+
+
+def test_near_stage_links_all_of_08_and_none_below(spark):
+    made, rows = np.random.default_rng(5), []
+    for _ in range(25):
+        words = ["w%d" % w for w in made.integers(0, 3000, made.integers(60, 300))]
+        rows += [" ".join(words), *[changed(words, made, n) for n in (1, 2, 3, 5, 9)]]
+    order = made.permutation(len(rows)).tolist()
+    rows = [(int(i), t) for i, t in zip(order, rows)] + [(1000, None), (1001, ""), (1002, "a b c"), (1003, "A b  c"), (1004, "a b d")]
+    out = corpus_pipeline.near_stage(spark, clashing(docs(spark, rows)), None)
+    assert out.columns == clashing(docs(spark, rows)).columns
+    assert sorted(r.doc_id for r in out.collect()) == kept_ids(rows)
+
+
+def test_rows_of_one_id_with_different_texts_stay(spark):
+    rows = [(9, "one text of its own kind here"), (9, "another one with other words entirely"), (9, "one text of its own kind here"), (None, "x")]
+    for keep in (simhash.keep_one, similar.keep_one_similar):
+        assert sorted(r.text for r in keep(docs(spark, rows)).collect()) == sorted({t for _, t in rows})
+    assert similar.keep_one_similar(docs(spark, HARD)).count() == 6 and similar.keep_one_similar(docs(spark, [])).count() == 0

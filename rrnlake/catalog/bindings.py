@@ -255,6 +255,8 @@ def taxonomy_tree(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 # Short primers that the document sequences contain (name, forward, reverse).
 SHORT_PRIMERS = [("P1", "ACGTR", "YACG"), ("P2", "GGNA", "TTRC")]
+# Primers of eight bases, rare enough for products of the reference's length.
+LONG_PRIMERS = [("L1", "CACNCGYA", "TAGGNTAR"), ("L2", "CACCACTA", "AGTGYATT")]
 
 
 def genomes(spark: SparkSession, folder: str) -> DataFrame:

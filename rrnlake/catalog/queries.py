@@ -421,6 +421,12 @@ def insilico_pcr(spark, folder):
     return primers.insilico_pcr(_seqs(spark, folder), b.SHORT_PRIMERS, max_len=400)
 
 
+@query
+def insilico_pcr_long(spark, folder):
+    """All products of up to the reference's 10,000 bases; primers of eight bases."""
+    return primers.insilico_pcr(_seqs(spark, folder), b.LONG_PRIMERS)
+
+
 @query
 def primer_yield(spark, folder):
     return _rounded(primers.primer_yield(_seqs(spark, folder), b.SHORT_PRIMERS), "percentage")

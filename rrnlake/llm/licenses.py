@@ -1,6 +1,6 @@
 """License scans: an exact set-similarity join of text blocks with templates, with column expressions only.
 
-A block is a line of a text, a template the words of a known notice. A template is found in a block that holds at least
+A block is a line of a text, a template the words of a known notice. Of notices wrapped over lines, see wrapped_notices. A template is found in a block that holds at least
 `containment` of its distinct words. Tokens are ordered by how many blocks of the whole corpus hold them, rarest first. A
 block that reaches the threshold shares a token with the template's prefix, so only blocks with such a token meet a
 template (prefix filter). A block with fewer template tokens than needed is too short (length filter). Once the first
@@ -93,6 +93,27 @@ def scan_blocks(blocks: DataFrame, rules: LicenseRules = LicenseRules()) -> Data
     return found.select("doc_id", "block", "label", (F.size("_shared") / F.col("total")).alias("containment"))
 
 
+def wrapped_notices(docs: DataFrame, rules: LicenseRules = LicenseRules()) -> DataFrame:
+    """(doc_id, block, label, containment) of templates whose words stand close together in a text of several lines; block is -1.
+
+    Texts that hold enough words of a template at all are found by the same join; in those, each window of a quarter more
+    words than the template has is looked at, wherever lines end.
+    """
+    several = docs.select("doc_id", "text").filter(F.contains("text", F.lit("\n")))
+    whole = several.select("doc_id", F.translate("text", "\n", " ").alias("text"))
+    met = scan_blocks(staged(template_blocks(whole, rules), "texts"), rules).select("doc_id", "label").distinct()
+    bodies = docs.sparkSession.createDataFrame(list(rules.templates), "label string, body string")
+    sized = bodies.select("label", _words(F.col("body")).alias("_b")).select(
+        "label", F.array_distinct("_b").alias("_t"), F.ceil(F.size("_b") * F.lit(1.25)).cast("int").alias("_size"))
+    pairs = met.join(F.broadcast(sized), "label").withColumnRenamed("doc_id", "_d")
+    rows = several.join(pairs, several["doc_id"].eqNullSafe(F.col("_d"))).select("doc_id", "label", "_t", "_size", _words(F.col("text")).alias("_w"))
+    starts = F.filter(F.sequence(F.lit(1), F.size("_w")), lambda i: F.array_contains("_t", F.get("_w", i - 1)))
+    held = F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("_w", i, F.col("_size")), F.col("_t"))))
+    best = rows.filter("size(_w) > 0").select("doc_id", "label", F.size("_t").alias("total"), F.array_max(held).alias("most"))
+    needed = F.ceil(F.col("total") * F.lit(rules.containment) - F.lit(1e-9))
+    return best.filter(F.col("most") >= needed).select("doc_id", F.lit(-1).alias("block"), "label", (F.col("most") / F.col("total")).alias("containment"))
+
+
 def _places(words: Column, spaced: Column, phrase: str) -> Column:
     """Where the words of a phrase stand one after the other, counted from 0. spaced: the words with a space around each."""
     parts = phrase.split(" ")
@@ -131,7 +152,7 @@ def scan_documents(docs: DataFrame, rules: LicenseRules = LicenseRules()) -> Dat
     Runs jobs.
     """
     base = phrase_places(docs, rules)
-    found = scan_blocks(staged(template_blocks(docs, rules), "blocks"), rules)
+    found = scan_blocks(staged(template_blocks(docs, rules), "blocks"), rules).unionByName(wrapped_notices(docs, rules))
     extra = found.groupBy(F.col("doc_id").alias("_d")).agg(F.collect_set("label").alias("_more"), F.max("containment").alias("_best"))
     own = F.array_distinct(F.transform("places", lambda p: p["label"]))
     starts = F.transform("places", lambda p: p["at"])

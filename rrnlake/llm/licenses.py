@@ -107,6 +107,7 @@ def wrapped_notices(docs: DataFrame, rules: LicenseRules = LicenseRules()) -> Da
         "label", F.array_distinct("_b").alias("_t"), F.ceil(F.size("_b") * F.lit(1.25)).cast("int").alias("_size"))
     pairs = met.join(F.broadcast(sized), "label").withColumnRenamed("doc_id", "_d")
     rows = several.join(pairs, several["doc_id"].eqNullSafe(F.col("_d"))).select("doc_id", "label", "_t", "_size", _words(F.col("text")).alias("_w"))
+    rows = staged(rows, "words")  # written, as the lambdas below would else cut the text again for each word
     starts = F.filter(F.sequence(F.lit(1), F.size("_w")), lambda i: F.array_contains("_t", F.get("_w", i - 1)))
     held = F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("_w", i, F.col("_size")), F.col("_t"))))
     best = rows.filter("size(_w) > 0").select("doc_id", "label", F.size("_t").alias("total"), F.array_max(held).alias("most"))

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rrnlake.llm import embeddings, hilbert, licenses, linedup, mixing, quality, segmentation, simhash, warc, winnowing
+from rrnlake.llm import (
+    dialogue, embeddings, hilbert, licenses, linedup, mixing, quality, segmentation, simhash, token_store, warc, whitening, winnowing,
+)
 from rrnlake.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +87,27 @@ def op10_nbest_segmentation(spark, folder):
     ).join(back, "doc_id")
 
 
+@query
+def op11_dialogue_repair(spark, folder):
+    """Faults of damaged conversations, and their cheapest repair."""
+    rows = table(spark, folder, "conversations")
+    return dialogue.repair_conversations(dialogue.damage_rows(rows), rows.select("conv_id"))
+
+
+@query
+def op12_token_store(spark, folder):
+    """All documents through files of token ids with Elias-Fano coded bounds and back."""
+    import public_tokenizers
+
+    return token_store.store_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_whitened_vectors(spark, folder):
+    """Every embedding on the four leading whitened components."""
+    return whitening.whiten_vectors(table(spark, folder, "embeddings"))
+
+
 ORACLES: dict[str, str] = {
     "op1_mix_sources": r"""
         WITH d AS (
@@ -133,6 +156,74 @@ ORACLES: dict[str, str] = {
 }
 
 
+def _dialogue_sql() -> str:
+    """Damage, faults and the cheapest repair, row by row over the four states, with whole strings."""
+    moves = [f"({i}, {i}, 'D')" for i in range(4)]
+    moves += ["(0, 1, 's')", *(f"({i}, 2, 'u')" for i in (0, 1, 3)), "(2, 3, 'a')"]
+    inserts = [*(f"({i}, 2, 'user')" for i in (0, 1, 3)), "(2, 3, 'assistant')"]
+    return f"""
+        WITH RECURSIVE crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        named AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce(list_prepend(4294967295::BIGINT,
+                       list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+                       lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS c
+            FROM conversations, crc),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN c = 4 THEN 'user' ELSE role END AS role,
+                   CASE c WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN c = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM named WHERE c <> 0),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM damaged),
+        f AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                           WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+                   left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair
+            FROM r),
+        moves AS (SELECT * FROM (VALUES {", ".join(moves)}) v(s, e, c)),
+        inserts AS (SELECT * FROM (VALUES {", ".join(inserts)}) v(s, e, name)),
+        more AS (
+            SELECT s, e, 5 AS cost, 'I' AS letters, chr(10) || name || ':' AS new FROM inserts
+            UNION ALL SELECT a.s, b.e, 10, 'II', chr(10) || a.name || ':' || chr(10) || b.name || ':' FROM inserts a JOIN inserts b ON a.e = b.s
+            UNION ALL SELECT i, i, 0, '', '' FROM range(4) v(i)),
+        step AS (
+            SELECT f.conv_id, f.i, m.s, x.e,
+                   x.cost + CASE WHEN m.c = 'D' THEN 2 ELSE (left(role, 1) <> m.c)::INT + 5 * (fault = 'truncated')::INT END AS cost,
+                   CASE WHEN m.c = 'D' THEN 'D' WHEN left(role, 1) = m.c THEN 'K' ELSE 'R' END || x.letters AS letters,
+                   CASE WHEN m.c = 'D' THEN '' ELSE chr(10) || CASE WHEN left(role, 1) = m.c THEN role WHEN m.c = 'u' THEN 'user' ELSE 'assistant' END
+                        || ':' || text END || x.new AS new
+            FROM f JOIN moves m ON (m.c = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (m.c <> 's' OR left(role, 1) = 's') JOIN more x ON x.s = m.e),
+        walk AS (
+            SELECT conv_id, 0::BIGINT AS i, e AS state, {{'cost': more.cost, 'letters': more.letters, 'new': more.new}} AS best
+            FROM (SELECT DISTINCT conv_id FROM f), more WHERE more.s = 0
+            UNION ALL
+            SELECT w.conv_id, w.i + 1, p.e,
+                   min({{'cost': w.best.cost + p.cost, 'letters': w.best.letters || p.letters, 'new': w.best.new || p.new}})
+            FROM walk w JOIN step p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.i = w.i + 1 AND p.s = w.state
+            GROUP BY w.conv_id, w.i, p.e),
+        last AS (SELECT conv_id, count(*) AS n FROM f GROUP BY conv_id),
+        won AS (
+            SELECT w.conv_id, min(best) AS best FROM walk w JOIN last l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = l.n
+            WHERE state IN (0, 3) GROUP BY w.conv_id),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM f GROUP BY conv_id)
+        SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+               coalesce(w.best.cost, 0)::BIGINT AS cost, coalesce(w.best.letters, '') AS audit, sha256(coalesce(w.best.new[2:], '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM k.conv_id
+        LEFT JOIN won w ON w.conv_id IS NOT DISTINCT FROM k.conv_id"""
+
+
+ORACLES["op11_dialogue_repair"] = _dialogue_sql()
+
+
 def _license_sql() -> str:
     """The license scan over all pairs of a line and a template, without filters."""
     rules = licenses.LicenseRules()

@@ -273,7 +273,7 @@ def _numbered(turns: DataFrame) -> DataFrame:
     return turns.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn("idx", place).drop("_part", "_slot", "_before")
 
 
-def _marked(turns: DataFrame) -> DataFrame:
+def _marked(turns: DataFrame, block: int) -> DataFrame:
     """Narrow rows: conv_id, turn, idx, symbol, fault, illegal, new_turn, starts, ends."""
     own = F.left("role", F.lit(1))
     narrow = turns.select("conv_id", "turn", "idx", "role", "digest", own.alias("initial"), "last")
@@ -283,7 +283,7 @@ def _marked(turns: DataFrame) -> DataFrame:
     same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("role") == F.col("_r")) & (F.col("digest") == F.col("_d"))
     seen = narrow.join(first, same, "left").withColumn("again", F.coalesce(F.col("idx") > F.col("first"), F.lit(False)))
     fault = F.when(F.col("last") == "", "blank").when(F.col("again"), "duplicate").when(~F.col("last").isin(".", "!", "?"), "truncated").otherwise("")
-    near = with_neighbours(seen.select("conv_id", "turn", "idx", "initial", fault.alias("fault")), "idx", ["conv_id", "turn", "initial"])
+    near = with_neighbours(seen.select("conv_id", "turn", "idx", "initial", fault.alias("fault")), "idx", ["conv_id", "turn", "initial"], block)
     starts = F.col("prev").isNull() | ~F.col("prev.conv_id").eqNullSafe(F.col("conv_id"))
     ends = F.col("next").isNull() | ~F.col("next.conv_id").eqNullSafe(F.col("conv_id"))
     role = F.when(F.col("initial").isin("u", "a", "s"), F.col("initial")).otherwise("o")
@@ -468,7 +468,7 @@ def repair(rows: DataFrame, rules: RepairRules = RepairRules()) -> Repair:
     """Find the cheapest edits of rows (conv_id, turn, role, text). Runs jobs."""
     kind = dict(rows.dtypes)["conv_id"]
     turns = _numbered(_ordered(rows))
-    marked = staged(_marked(turns), "marked-turns")
+    marked = staged(_marked(turns, rules.piece_rows), "marked-turns")
     pieces = staged(_pieces(marked, rules.piece_rows), "turn-pieces")
     sequences = staged(pieces.groupBy("seq").agg(F.count("*").alias("n")), "turn-sequences")
     pairs = learn_pairs(sequences, rules)

@@ -36,7 +36,7 @@ HEADER = "<4sIQBBxxII"
 SAMPLE = 64
 # Ends between a sign that isn't white space and one space before another such sign: no pre-token goes over them.
 SURE_END = re.compile(r"(?<=\S)(?= \S)")
-KEEP_LENGTH, KEEP_BYTES = 48, 48 << 20  # of pieces of text whose ids a Python worker remembers
+KEEP_LENGTH, KEEP_BYTES = 48, 256 << 20  # of pieces of text whose ids a Python worker remembers
 
 STORED = "part int, segment int, before bigint, n_ids bigint, first_id bigint, last_id bigint, doc_ids array<bigint>, body binary"
 
@@ -167,27 +167,24 @@ class PieceEncoder:
         """Little-endian ids of every text."""
         if not self.cuts:
             return self.whole(texts)
-        if self.held > KEEP_BYTES:
-            self.known, self.held = {}, 0
         plain = [not any(a in t for a in self.added) for t in texts]
-        pieces = [SURE_END.split(t) if ok else () for t, ok in zip(texts, plain)]
-        known = self.known
-        # A text's first piece may start anyhow, so only those with the one leading space are joined with others.
-        new = {p for own in pieces for p in own if p not in known}
-        joined = [p for p in new if p[:1] == " " and not p[1:2].isspace() and not p[-1].isspace()]
-        made = self._learn(joined)
-        alone = list(new.difference(joined))
+        pieces = [SURE_END.split(t) if ok else [] for t, ok in zip(texts, plain)]
+        seen = set().union(*pieces)
+        if self.held > KEEP_BYTES and len(seen.difference(self.known)) > len(seen) / 2:
+            self.known, self.held = {}, 0  # filled with words of other texts
+        known, full = self.known, self.held > KEEP_BYTES
+        new = seen.difference(known)
+        # The begin of a first piece and the end of a last one are no sure ends, so these are not joined with others.
+        outer = {p[0] for p in pieces if p} | {p[-1] for p in pieces if p}
+        made, alone = self._learn(list(new - outer)), list(new & outer)
         made.update(zip(alone, self.whole(alone)))
+        known.update(made)
+        out = [b"".join(map(known.__getitem__, own)) if ok else self.whole([t])[0] for t, ok, own in zip(texts, plain, pieces)]
         for p, ids in made.items():
-            if len(p) <= KEEP_LENGTH:
-                known[p] = ids
-                self.held += 200 + len(p) + len(ids)
-        out = []
-        for text, ok, own in zip(texts, plain, pieces):
-            if ok:
-                out.append(b"".join([known[p] if p in known else made[p] for p in own]))
+            if full or len(p) > KEEP_LENGTH:
+                del known[p]
             else:
-                out.append(self.whole([text])[0])
+                self.held += 180 + len(p) + len(ids)
         return out
 
 

@@ -120,7 +120,7 @@ class PieceEncoder:
     """Ids of texts by a tokenizer, with a memory of short pieces of text.
 
     Where the pre-tokenizer is the byte-level one without a leading space, no token goes over an end as in SURE_END, so a
-    text is the chain of its pieces. New pieces are joined, encoded in one go and cut by the bytes of their tokens. Texts
+    text is the chain of its pieces. New ones are joined, encoded in one go and cut by the bytes of their tokens. Batches
     with an added token in them, and all texts under another tokenizer, are encoded whole.
     """
 
@@ -148,43 +148,59 @@ class PieceEncoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, each with one space before it."""
         made: dict[str, bytes] = {}
-        for first in range(0, len(pieces), 5000):
-            own = pieces[first: first + 5000]
-            ids = np.frombuffer(self.whole(["".join(own)])[0], self.kind)
-            sizes = np.cumsum([len(p.encode()) for p in own])
-            cuts = np.searchsorted(np.cumsum(self.widths[ids]), sizes) + 1
-            if self.widths[ids].sum() != sizes[-1]:
+        for first in range(0, len(words), 5000):
+            own = words[first: first + 5000]
+            ids = np.frombuffer(self.whole([" " + " ".join(own)])[0], self.kind)
+            sizes = np.cumsum([len(w.encode()) + 1 for w in own])
+            ends = np.cumsum(self.widths[ids])
+            if ends[-1] != sizes[-1]:
                 raise ValueError("token bytes don't add up to the text")
-            begin, step, data = 0, self.kind.itemsize, ids.tobytes()
-            for piece, end in zip(own, cuts.tolist()):
-                made[piece] = data[begin * step: end * step]
-                begin = end
+            step, data = self.kind.itemsize, ids.tobytes()
+            cuts = ((np.searchsorted(ends, sizes) + 1) * step).tolist()
+            made.update(zip(own, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
         return made
 
+    def _cut(self, texts: list[str]) -> list[list[str]]:
+        """Texts as their head, words that stand between one space and a sure end, and their tail with its space."""
+        out = [t.split(" ") for t in texts]
+        # Words in memory are known to be regular, so only new ones are looked at.
+        odd = {w for w in set().union(*out).difference(self.known) if not w or w[0].isspace() or w[-1].isspace()}
+        for k, words in enumerate(out):
+            if len(words) == 1:
+                continue
+            regular = words[0] and not words[0][-1].isspace() and words[-1] and not words[-1][0].isspace()
+            if not regular or odd and not odd.isdisjoint(words[1:-1]):
+                pieces = SURE_END.split(texts[k])
+                out[k] = pieces[:1] + [p[1:] for p in pieces[1:-1]] + pieces[1:][-1:]
+            else:
+                words[-1] = " " + words[-1]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of every text."""
-        if not self.cuts:
+        if not self.cuts or any(a in t for t in texts for a in self.added):
             return self.whole(texts)
-        plain = [not any(a in t for a in self.added) for t in texts]
-        pieces = [SURE_END.split(t) if ok else [] for t, ok in zip(texts, plain)]
-        seen = set().union(*pieces)
-        if self.held > KEEP_BYTES and len(seen.difference(self.known)) > len(seen) / 2:
-            self.known, self.held = {}, 0  # filled with words of other texts
+        pieces = self._cut(texts)
+        inner = [p[1:-1] for p in pieces]
+        seen = set().union(*inner)
+        new = seen.difference(self.known)
+        if self.held > KEEP_BYTES and len(new) > len(seen) / 2:  # filled with words of other texts
+            self.known, self.held, new = {}, 0, seen
         known, full = self.known, self.held > KEEP_BYTES
-        new = seen.difference(known)
-        # The begin of a first piece and the end of a last one are no sure ends, so these are not joined with others.
-        outer = {p[0] for p in pieces if p} | {p[-1] for p in pieces if p}
-        made, alone = self._learn(list(new - outer)), list(new & outer)
-        made.update(zip(alone, self.whole(alone)))
+        made = self._learn(list(new))
         known.update(made)
-        out = [b"".join(map(known.__getitem__, own)) if ok else self.whole([t])[0] for t, ok, own in zip(texts, plain, pieces)]
-        for p, ids in made.items():
-            if full or len(p) > KEEP_LENGTH:
-                del known[p]
+        # What may start or end anyhow is encoded by itself.
+        ends = self.whole([p[0] for p in pieces] + [p[-1] if len(p) > 1 else "" for p in pieces])
+        find, n = known.__getitem__, len(texts)
+        out = [b"".join((ends[k], *map(find, own), ends[n + k])) for k, own in enumerate(inner)]
+        for w, ids in made.items():
+            if full or len(w) > KEEP_LENGTH:
+                del known[w]
             else:
-                self.held += 180 + len(p) + len(ids)
+                self.held += 180 + len(w) + len(ids)
         return out
 
 

@@ -109,6 +109,27 @@ def sequences(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of near copies: every sequence and, from 40 bases on, a copy with an edit and that copy without two bases.
+
+    The edit, by doc_id: another base, a base less, or a base more, at a place inside. (cluster_id, seqid, seq, copies).
+    """
+    s = sequences(spark, folder).select("doc_id", "seq").withColumn("n", F.octet_length("seq"))
+    at = F.lit(15) + F.pmod(F.col("doc_id") * 37, F.greatest(F.col("n") - 30, F.lit(1)))  # bases before the edit
+    s = s.withColumn("at", at.cast("int"))
+    own = F.substring("seq", F.col("at") + 1, F.lit(1))
+    other = F.translate(own, "ACGT", "CGTA")
+    base = F.when(F.col("doc_id") % 3 == 0, other).when(F.col("doc_id") % 3 == 1, "").otherwise(F.concat(own, other))
+    edited = F.concat(F.substring("seq", F.lit(1), F.col("at")), base, F.substring("seq", F.col("at") + 2, F.col("n")))
+    copies = s.select("doc_id", "seq", edited.alias("edited"))
+    made = F.explode(F.array(
+        F.struct(F.lit("a").alias("kind"), F.col("seq").alias("seq")),
+        F.struct(F.lit("b").alias("kind"), F.col("edited").alias("seq")),
+        F.struct(F.lit("c").alias("kind"), F.substring("edited", F.lit(3), F.length("edited")).alias("seq"))))
+    return copies.select("doc_id", made.alias("m"), F.octet_length("seq").alias("n")).filter("m.kind = 'a' or n >= 40").select(
+        F.col("doc_id").alias("cluster_id"), F.concat(F.lit("DOC"), F.col("doc_id"), "m.kind").alias("seqid"), "m.seq", F.lit(1).cast("bigint").alias("copies"))
+
+
 def cut_regions(spark: SparkSession, folder: str) -> DataFrame:
     """One region per sequence that is long enough: (operon_id, seqid, start, end, strand)."""
     s = sequences(spark, folder).withColumn("n", F.octet_length("seq").cast("bigint"))

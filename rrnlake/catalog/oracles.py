@@ -417,3 +417,46 @@ ORACLES["ani_pairs"] = _with(SEQS, """hashed AS (
   """counted AS (SELECT a, b, CAST(len(list_intersect(i, u)) AS BIGINT) AS shared, len(u) AS n FROM paired)""",
   """est AS (SELECT a, b, shared, 100 * (1 + ln(2 * (shared / n) / (1 + shared / n)) / 16) AS est_ani
   FROM counted WHERE shared > 0)""") + "SELECT a, b, shared, round(est_ani, 6) AS est_ani FROM est WHERE est_ani >= 80 - 1e-9"
+
+# Identity 1: a match is containment, and containment carries over, so a sequence is a centroid if no earlier one holds it.
+_HOLDERS = """d AS (SELECT seq, min(seqid) AS seqid, length(seq) AS n FROM s GROUP BY seq),
+p AS (SELECT *, row_number() OVER (ORDER BY n DESC, seqid) AS place FROM d),
+h AS (SELECT a.place, a.n, o.place AS holder FROM p a JOIN p o ON o.place < a.place AND contains(o.seq, a.seq)),
+c AS (SELECT * FROM p WHERE place NOT IN (SELECT place FROM h))"""
+
+ORACLES["contained_clusters"] = _with(SEQS, "s AS (SELECT seqid, seq FROM seqs)", _HOLDERS) + """
+SELECT s.seqid, c.seqid AS centroid, s.seqid = c.seqid AS is_centroid, 0 AS edits, 1.0::DOUBLE AS identity
+FROM s JOIN p USING (seq)
+JOIN (SELECT p.place, coalesce(min(h.holder), p.place) AS first FROM p LEFT JOIN h ON h.place = p.place AND h.holder IN (SELECT place FROM c)
+      GROUP BY p.place) b ON b.place = p.place
+JOIN c ON c.place = b.first"""
+
+ORACLES["contained_pairs"] = _with(SEQS, """s AS (
+  SELECT seqid, seq FROM seqs UNION ALL SELECT seqid || 'h', right(seq, length(seq) // 2) FROM seqs)""", _HOLDERS) + """
+SELECT p.seqid, c.seqid AS centroid, 0 AS edits, 1.0::DOUBLE AS identity
+FROM h JOIN p USING (place) JOIN c ON c.place = h.holder
+QUALIFY h.n >= 64 OR h.holder = min(h.holder) OVER (PARTITION BY h.place)"""
+
+ORACLES["contained_merge"] = _with(SEQS, "s AS (SELECT seqid, seq FROM seqs WHERE doc_id % 2 = 0)", _HOLDERS, """
+every AS (
+  SELECT seqid, seq, 0 AS priority FROM c UNION ALL SELECT seqid, seq, 1 FROM seqs WHERE doc_id % 2 = 1),
+q AS (
+  SELECT seq, min(priority) AS priority, min_by(seqid, (priority, seqid)) AS seqid, length(seq) AS n FROM every GROUP BY seq),
+r AS (SELECT *, row_number() OVER (ORDER BY priority, n DESC, seqid) AS place FROM q),
+o AS (
+  SELECT a.place, e.place AS holder FROM r a JOIN r e ON a.priority = 1 AND e.priority = 0 AND (contains(e.seq, a.seq) OR contains(a.seq, e.seq))),
+w AS (
+  SELECT a.place, e.place AS holder FROM r a JOIN r e ON a.priority = 1 AND e.priority = 1 AND e.place < a.place AND contains(e.seq, a.seq)
+  WHERE e.place NOT IN (SELECT place FROM o)),
+k AS (SELECT * FROM r WHERE priority = 0 OR place NOT IN (SELECT place FROM o UNION ALL SELECT place FROM w)),
+m AS (SELECT * FROM o UNION ALL SELECT * FROM w WHERE holder IN (SELECT place FROM k))""") + """
+SELECT every.seqid, k.seqid AS centroid, every.seqid = k.seqid AS is_centroid
+FROM every JOIN r USING (seq) JOIN (
+  SELECT r.place, coalesce(min(m.holder), r.place) AS first FROM r LEFT JOIN m ON m.place = r.place GROUP BY r.place) b ON b.place = r.place
+JOIN k ON k.place = b.first"""
+
+ORACLES["cluster_consensus"] = _with(SEQS) + """
+SELECT doc_id AS cluster_id, seqid || 'a' AS operon_id, length(out)::INT AS n, md5(out) AS seq_md5 FROM (
+  SELECT doc_id, seqid, CASE WHEN length(seq) < 40 THEN seq ELSE substring(seq, 1, cut) || CASE doc_id % 3 WHEN 0 THEN translate(substring(seq, cut + 1, 1), 'ACGT', 'CGTA')
+         WHEN 1 THEN '' ELSE substring(seq, cut + 1, 1) || translate(substring(seq, cut + 1, 1), 'ACGT', 'CGTA') END || substring(seq, cut + 2) END AS out
+  FROM (SELECT *, 15 + (doc_id * 37) % greatest(length(seq) - 30, 1) AS cut FROM seqs))"""

@@ -407,6 +407,38 @@ def novel_only_merge(spark, folder):
     return cluster.cluster_incremental(old.withColumnRenamed("operon_id", "seqid"), new, IDENTITY).records()
 
 
+@query
+def contained_clusters(spark, folder):
+    """Clusters at identity 1: a sequence belongs to the earliest one that holds it whole."""
+    return _rounded(cluster.greedy_cluster(_seqs(spark, folder), 1.0).members.drop("cluster_id", "offset"), "identity")
+
+
+@query
+def contained_pairs(spark, folder):
+    """Every match with a centroid at identity 1, among whole sequences and their halves."""
+    s = _seqs(spark, folder)
+    half = s.select(F.concat("seqid", F.lit("h")).alias("seqid"), F.expr("right(seq, cast(length(seq) / 2 as int))").alias("seq"))
+    found = cluster.greedy_cluster(s.select("seqid", "seq").unionByName(half), 1.0)
+    return _rounded(cluster.similarity_pairs(found), "identity")
+
+
+@query
+def contained_merge(spark, folder):
+    """Centroids of even documents first, at identity 1; odd ones enter where no centroid holds them or is held by them."""
+    s = _seqs(spark, folder)
+    old = cluster.greedy_cluster(s.filter("doc_id % 2 = 0"), 1.0).centroids()
+    new = s.filter("doc_id % 2 = 1").select("seqid", "seq")
+    found = cluster.cluster_incremental(old.withColumnRenamed("operon_id", "seqid"), new, 1.0)
+    return found.members.select("seqid", "centroid", "is_centroid")
+
+
+@query
+def cluster_consensus(spark, folder):
+    """Consensus of given clusters of near copies, whose majority has an edit that the centroid may lack."""
+    rows = b.near_copies(spark, folder).withColumns({"is_centroid": F.col("seqid").endswith("a"), "edits": F.lit(1)})
+    return cluster.consensus_of(rows).select("cluster_id", "operon_id", F.length("seq").alias("n"), F.md5("seq").alias("seq_md5"))
+
+
 @query
 def consensus(spark, folder):
     return cluster.consensus(cluster.greedy_cluster(_seqs(spark, folder), LOOSE))

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 
 def seed_diagonals(short: bytes, long: bytes, limit: int) -> set[int]:
@@ -131,3 +131,115 @@ def compare_pairs(left: pd.Series, right: pd.Series, identity: pd.Series) -> pd.
         place = ungapped_offset(short, long, limit) if edits >= 0 else None
         rows.append((edits, place if place is None or short is x else -place))
     return pd.DataFrame(rows, columns=["edits", "offset"]).astype({"edits": "int32", "offset": "Int32"})
+
+
+MATCH, REPLACE, SKIP_LONG, SKIP_SHORT = range(4)
+
+
+def infix_path(short: bytes, long: bytes, limit: int) -> tuple[int, list[tuple[int, int, int]]] | None:
+    """(start in long, [(move, i, j)]) of a best alignment of `short` with a stretch of `long`; None above limit.
+
+    The furthest-reaching points of every number of edits are kept and walked back. i and j are the places in short and
+    long at which a move other than MATCH stands.
+    """
+    n, m = len(short), len(long)
+    a, b = np.frombuffer(short, np.uint8), np.frombuffer(long, np.uint8)
+    seeds = seed_diagonals(short, long, limit)
+    band = sorted({k for s in seeds for k in range(s - limit, s + limit + 1) if -limit <= k <= m - n + limit})
+    levels: list[dict[int, tuple[int, int, int]]] = []  # diagonal -> (reach, move that led there, place it led to)
+    for edits in range(limit + 1):
+        last, now = (levels[-1] if levels else {}), {}
+        for k in band:
+            moves = [(0, MATCH)] if not edits and 0 <= k <= m else []
+            if edits:
+                moves = [(last[d][0] + step, move) for d, step, move in ((k, 1, REPLACE), (k - 1, 0, SKIP_LONG), (k + 1, 1, SKIP_SHORT)) if d in last]
+            moves = [(i, -move) for i, move in moves if 0 <= i <= n and 0 <= i + k <= m]
+            if not moves:
+                continue
+            at, move = max(moves)
+            now[k] = (at + _matching(a[at:], b[at + k:]), -move, at)
+        levels.append(now)
+        done = [k for k, point in now.items() if point[0] >= n]
+        if done:
+            k, out = max(done), []  # of equally many edits, the way that leaves out fewest of `short`
+            for level in reversed(levels):
+                _, move, at = level[k]
+                if move == REPLACE:
+                    out.append((move, at - 1, at - 1 + k))
+                elif move == SKIP_LONG:
+                    k -= 1
+                    out.append((move, at, at + k))
+                elif move == SKIP_SHORT:
+                    k += 1
+                    out.append((move, at - 1, at - 1 + k))
+            return k, out[::-1]
+    return None
+
+
+def leftmost(short: bytes, long: bytes, start: int, moves: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The same alignment with every gap as far left as it goes, so that equal gaps of different members get one place."""
+    done: list[tuple[int, int, int]] = []
+    at = 0
+    while at < len(moves):
+        move, i, j = moves[at]
+        size = 1
+        if move != REPLACE:
+            step = (0, 1) if move == SKIP_LONG else (1, 0)
+            while at + size < len(moves) and moves[at + size] == (move, i + step[0] * size, j + step[1] * size):
+                size += 1
+            text, place = (long, j) if move == SKIP_LONG else (short, i)
+            floor = done[-1] if done else None
+            free = min(i, j - start) if floor is None else i - floor[1] - (floor[0] != SKIP_LONG)
+            while free > 0 and text[place - 1] == text[place + size - 1]:
+                place, i, j, free = place - 1, i - 1, j - 1, free - 1
+            done += [(move, i + step[0] * s, j + step[1] * s) for s in range(size)]
+        else:
+            done.append((move, i, j))
+        at += size
+    return done
+
+
+def member_script(member: bytes, centroid: bytes, limit: int) -> tuple[int, int, list[tuple[int, int, str]]] | None:
+    """(start, stop, differences) of a member against the columns of its centroid, None above limit.
+
+    A difference is (column, place, base): place 0 is the column itself, base '-' that the member lacks it; places from 1
+    on are bases behind the column.
+    """
+    inside = len(member) <= len(centroid)
+    short, long = (member, centroid) if inside else (centroid, member)
+    found = infix_path(short, long, limit)
+    if found is None:
+        return None
+    start, moves = found[0], leftmost(short, long, *found)
+    out, last, place = [], None, 0
+    for move, i, j in moves:
+        column, base = (j, short[i:i + 1]) if inside else (i, long[j:j + 1])
+        if move == REPLACE:
+            out.append((column, 0, base.decode()))
+        elif move == (SKIP_LONG if inside else SKIP_SHORT):
+            out.append((column, 0, "-"))
+        else:
+            place = place + 1 if last == column else 1
+            last = column
+            out.append((column - 1, place, base.decode()))
+    longer = sum((move == SKIP_LONG) - (move == SKIP_SHORT) for move, _, _ in moves)
+    return (start, start + len(short) + longer, out) if inside else (0, len(short), out)
+
+
+_SCRIPT = StructType([
+    StructField("start", IntegerType()), StructField("stop", IntegerType()),
+    StructField("diffs", ArrayType(StructType([
+        StructField("column", IntegerType()), StructField("place", IntegerType()), StructField("base", StringType())]))),
+])
+
+
+@F.pandas_udf(_SCRIPT)
+def member_scripts(member: pd.Series, centroid: pd.Series, limit: pd.Series) -> pd.DataFrame:
+    """member_script of each row; all fields NULL where a member is above its limit."""
+    rows = []
+    for x, c, most in zip(member, centroid, limit):
+        found = member_script(x.encode(), c.encode(), int(most))
+        rows.append(found if found is not None else (None, None, None))
+    out = pd.DataFrame(rows, columns=["start", "stop", "diffs"])
+    out["diffs"] = [None if d is None else [{"column": c, "place": p, "base": v} for c, p, v in d] for d in out["diffs"]]
+    return out.astype({"start": "Int32", "stop": "Int32"})

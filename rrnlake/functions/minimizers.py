@@ -86,14 +86,18 @@ def minimizers(seq: Column, k: int, w: int) -> Column:
     return F.pandas_udf(run, _KEYS)(seq)
 
 
-def anchor_span(identity: float, shortest: int, longest: int, floor: int = 64) -> int:
-    """Longest exact stretch that any two matching sequences are sure to share.
+def anchor_span(identity: float, shortest: int, longest: int) -> int:
+    """Longest exact stretch that any two matching sequences of these lengths (of the shorter one) are sure to share.
 
-    With at most d = floor((1-t)L) edits on L bases, some stretch of
-    ceil((L-d)/(d+1)) bases is unchanged. The bound is not monotone in L, so the
-    smallest value over the lengths present is taken. Sequences under `floor`
-    are outside it and cluster on equality only.
+    With at most d = floor((1-t)L) edits on L bases, some stretch of ceil((L-d)/(d+1)) bases is unchanged. For one d the
+    least L has the least stretch, so only the lengths at which d grows are looked at.
     """
-    lengths = np.arange(max(shortest, floor), max(longest, floor) + 1)
-    edits = np.floor((1 - identity) * lengths + 1e-9).astype(np.int64)
-    return int((-(-(lengths - edits) // (edits + 1))).min())
+    share = max(1 - identity, 1e-12)
+    least, length = longest, shortest
+    while length <= longest:
+        edits = int(share * length + 1e-9)
+        least = min(least, -(-(length - edits) // (edits + 1)))
+        length = max(length + 1, int((edits + 1 - 1e-9) / share))
+        while length <= longest and int(share * length + 1e-9) == edits:
+            length += 1
+    return max(1, least)

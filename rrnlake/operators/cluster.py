@@ -12,11 +12,18 @@ Work is kept near linear without losing a match:
 * exact copies are folded first, so a third of all rows being copies is one row;
 * a pair meets only on the rarest minimizers of its shorter sequence. With d
   edits touching at most M minimizers each, one of its d*M+1 rarest must be
-  shared. Minimizers seen once meet nobody, common ones are rarely among these;
+  shared. Minimizers seen once meet nobody, common ones are rarely among these.
+  Lengths under 64 that allow an edit have words of their own, by doubling
+  lengths, and look for them in all longer sequences;
+* of the keys of the shorter sequence all but d*M must be in the longer one.
+  This is counted on arrays of keys, before any bases move, where keys are few;
 * a round looks only at the first `m` open sequences of each minimizer. Those
   that no earlier open sequence matches are centroids for sure. They are compared
   to what follows them, and what they cover leaves the round. `m` grows, so a
-  family with many centroids takes few rounds. No group is ever paired with itself.
+  family with many centroids takes few rounds. No group is ever paired with itself;
+* sequences under 64 bases that allow no edit come last: containment carries over,
+  so one is a hit exactly if a centroid or another such sequence holds it, and the
+  earliest holder is its centroid. They need no rounds (_pieces).
 """
 
 from __future__ import annotations
@@ -25,18 +32,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rrnlake.functions.alignment import compare_pairs
+from rrnlake.functions.alignment import compare_pairs, member_scripts
 from rrnlake.functions.minimizers import anchor_span, minimizers
-from rrnlake.plans.durable import durable
+from rrnlake.plans.durable import durable, written
 from rrnlake.plans.ordering import dense_index
 from rrnlake.plans.sizing import spread
 
-FLOOR = 64  # shorter sequences cluster on equality only
+LONG = 64  # all lengths from here up share one class of words
 MAX_K = 31
 LOW_K = 20
 MAX_W = 34
 # Row limits up to this size are applied before the shuffle (WindowGroupLimit).
 MAX_HEADS = 1000
+# Keys are counted per pair only where they are at most this many a base; else they are no smaller than the bases.
+COUNTED_WINDOW = 12
+FIRST_HOLDERS = 64
 
 
 @dataclass(frozen=True)
@@ -45,7 +55,8 @@ class Clusters:
 
     members: cluster_id, seqid, centroid, is_centroid, edits, offset, identity - one row per input row.
     representatives: place, seqid, seq, priority, copies - one row per distinct sequence.
-    matches: place, centroid_place, edits, offset - every match of a sequence with a centroid.
+    matches: place, centroid_place, edits, offset - every match of a sequence with a centroid; of a sequence under 64
+        bases that allows no edit, the earliest.
     """
 
     members: DataFrame
@@ -73,49 +84,76 @@ class Clusters:
 
 
 def _representatives(rows: DataFrame) -> DataFrame:
-    """One row per distinct sequence, numbered in scan order."""
+    """One row per distinct sequence, numbered in scan order, as a table whose bases are read only where they are named."""
     folded = rows.groupBy("digest").agg(
         F.min(F.struct("priority", "seqid")).alias("r"), F.any_value("seq").alias("seq"), F.count("*").alias("copies")
     )
     reps = folded.select("digest", "r.*", "seq", "copies").withColumn("length", F.octet_length("seq"))
-    return dense_index(reps, [F.col("priority"), F.col("length").desc(), F.col("seqid")], "place")
+    return written(dense_index(reps, [F.col("priority"), F.col("length").desc(), F.col("seqid")], "place"), "representatives")
 
 
-def _anchors(reps: DataFrame, identity: float) -> tuple[DataFrame, DataFrame]:
-    """(probes, index): keys a sequence must be found by, and all places of those keys."""
-    sized = reps.filter(F.col("length") >= FLOOR)
-    low, high = sized.agg(F.min("length"), F.max("length")).first()
-    span = anchor_span(identity, low or FLOOR, high or FLOOR, FLOOR)
-    # An edit touches the minimizers of 2w+k-2 places: small words for low identities.
-    k = min(MAX_K if identity >= 0.995 else LOW_K, max(1, span * 2 // 3))
-    w = max(1, min(MAX_W, int(0.05 / max(1 - identity, 1e-9)), span - k + 1))
+def _edit_length(identity: float) -> int:
+    """The least length that allows an edit, LONG at most: shorter sequences are pieces (see _pieces)."""
+    return next((n for n in range(1, LONG) if int((1 - identity) * n + 1e-9) >= 1), LONG)
+
+
+def _doubling(length: Column) -> Column:
+    """The least length of the class: a power of two under LONG."""
+    return F.when(length >= LONG, LONG).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(1)))))).cast("int")
+
+
+def _sketches(reps: DataFrame, identity: float) -> DataFrame:
+    """place, cls, own, keys, spare, need per sequence and class of words.
+
+    A sequence has the words of its own class and those of all shorter classes that occur. `spare` of its own keys need
+    not be looked at, `need` of them must be in a longer sequence that matches.
+    """
+    sized = reps.filter(F.col("length") >= _edit_length(identity))
+    present = sized.groupBy(_doubling(F.col("length")).alias("cls")).agg(F.min("length").alias("lo"), F.max("length").alias("hi"))
     limit = F.floor(F.lit(1 - identity) * F.col("length") + F.lit(1e-9))
-    sketched = durable(
-        spread(sized.select("place", "length", "seq"), "place")
-        .select("place", limit.alias("limit"), minimizers(F.col("seq"), k, w).alias("m"))
-        .select(
-            "place",
-            (F.size("m.keys") - (F.col("limit") * F.col("m.density") + 1)).alias("spare"),
-            F.explode("m.keys").alias("key"),
+    made = None
+    for cls, low, high in sorted(tuple(r) for r in present.collect()):  # one row per doubling of lengths under LONG
+        span = anchor_span(identity, low, high)
+        # An edit touches the minimizers of 2w+k-2 places: small words for low identities.
+        k = min(MAX_K if identity >= 0.995 else LOW_K, max(1, span * 2 // 3))
+        w = max(1, min(MAX_W, int(0.05 / max(1 - identity, 1e-9)), span - k + 1))
+        sketch = (
+            spread(sized.filter(F.col("length") >= low).select("place", "length", "seq"), "place")
+            .select("place", "length", limit.alias("limit"), minimizers(F.col("seq"), k, w).alias("m"))
+            .select(
+                "place", F.lit(cls).alias("cls"), (_doubling(F.col("length")) == cls).alias("own"),
+                F.transform("m.keys", lambda key: F.xxhash64(F.lit(cls), key)).alias("keys"),
+                (F.size("m.keys") - (F.col("limit") * F.col("m.density") + 1)).alias("spare"),
+                F.when(F.lit(w >= COUNTED_WINDOW), F.size("m.keys") - F.col("limit") * F.col("m.density")).otherwise(1).alias("need"),
+            )
         )
-    )
-    shared = sketched.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+        made = sketch if made is None else made.unionByName(sketch)
+    if made is None:
+        none = "place bigint, cls int, own boolean, keys array<bigint>, spare bigint, need bigint"
+        return reps.sparkSession.createDataFrame([], none)
+    return written(made, "sketches")
+
+
+def _anchors(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(probes, index): keys a sequence must be found by, and all places of those keys."""
+    keyed = sketches.select("place", "own", "spare", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     # `spare` keys need not be looked at: the most common ones of each sequence.
     # A sequence has at most its own length of keys, so this window is bounded.
     commonest = Window.partitionBy("place").orderBy(F.col("n").desc(), "key")
     probes = durable(
-        sketched.join(shared, "key")
+        keyed.filter("own").join(shared, "key")
         .withColumn("r", F.row_number().over(commonest))
         .filter(F.col("r") > F.col("spare"))
         .select("place", "key")
     )
     wanted = probes.select("key").distinct()
-    index = durable(sketched.select("place", "key").join(wanted, "key", "left_semi"))
+    index = durable(keyed.select("place", "key").join(wanted, "key", "left_semi"))
     return probes, index
 
 
 def _meet(probes: DataFrame, index: DataFrame) -> DataFrame:
-    """Distinct (place, centroid_place) that share a key, centroid first."""
+    """Distinct (place, centroid_place) that share a key, centroid first; place is the shorter one."""
     heads = index.select("key", F.col("place").alias("centroid_place"))
     return (
         probes.join(heads, "key")
@@ -125,6 +163,20 @@ def _meet(probes: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
+def _share_enough(pairs: DataFrame, sketches: DataFrame, shorter: str = "place", longer: str = "centroid_place") -> DataFrame:
+    """Pairs whose longer sequence has as many keys of the shorter one as a match leaves. No bases move."""
+    own = sketches.filter("own").select(F.col("place").alias(shorter), "cls", "need", F.col("keys").alias("_k"))
+    other = sketches.select(F.col("place").alias(longer), "cls", F.col("keys").alias("_l"))
+    # need is 1 where keys aren't worth a count; the pair shares one already.
+    counted = pairs.join(own.filter("need > 1"), shorter).join(other, [longer, "cls"])
+    kept = counted.filter(F.size(F.array_intersect("_k", "_l")) >= F.col("need")).select("place", "centroid_place")
+    return kept.union(pairs.join(own.filter("need <= 1").select(shorter), shorter, "left_semi").select("place", "centroid_place"))
+
+
+def _contains(a: Column, b: Column) -> Column:
+    return F.when(F.octet_length(a) <= F.octet_length(b), F.contains(b, a)).otherwise(F.contains(a, b))
+
+
 def _verify(pairs: DataFrame, reps: DataFrame, identity: float) -> DataFrame:
     """The pairs that match, with edits and ungapped offset."""
     left = reps.select("place", F.col("seq").alias("_a"))
@@ -132,12 +184,70 @@ def _verify(pairs: DataFrame, reps: DataFrame, identity: float) -> DataFrame:
     joined = pairs.join(left, "place").join(right, "centroid_place")
     # Where no edit is allowed the shorter one must occur as it is, which needs no Python.
     short = F.least(F.octet_length("_a"), F.octet_length("_b"))
-    a_in_b = F.when(F.octet_length("_a") <= F.octet_length("_b"), F.contains("_b", F.col("_a"))).otherwise(F.contains("_a", F.col("_b")))
-    joined = joined.filter((F.floor(F.lit(1 - identity) * short + F.lit(1e-9)) > 0) | a_in_b)
+    joined = joined.filter((F.floor(F.lit(1 - identity) * short + F.lit(1e-9)) > 0) | _contains(F.col("_a"), F.col("_b")))
     compared = joined.withColumn("v", compare_pairs("_a", "_b", F.lit(identity)))
     return compared.filter("v.edits >= 0").select("place", "centroid_place", "v.edits", "v.offset")
 
 
+def _held(pieces: DataFrame, holders: DataFrame, reps: DataFrame, first: int | None) -> DataFrame:
+    """(place, holder): containment of short sequences without edits.
+
+    pieces has place and length, holders place. A piece is looked up by its rarest word among the holders. With `first`,
+    that many holders of a word are tried in order, and the others only for pieces that found none: the earliest holder
+    comes back, not all.
+    """
+    classed = reps.join(pieces.select("place"), "place", "left_semi").select("place", "seq", _doubling(F.col("length")).alias("cls"))
+    held = reps.join(holders, "place", "left_semi").select("place", "seq", "length")
+    probe = keyed = None
+    for (cls,) in classed.select("cls").distinct().orderBy("cls").collect():  # LONG's doublings at most
+        k = max(1, cls // 2)
+        key = F.explode(F.transform(minimizers(F.col("seq"), k, cls - k + 1)["keys"], lambda x: F.xxhash64(F.lit(cls), x))).alias("key")  # noqa: B023
+        own = classed.filter(F.col("cls") == cls).select("place", "seq", key)
+        other = spread(held.filter(F.col("length") >= cls), "place").select(F.col("place").alias("holder"), key)
+        probe = own if probe is None else probe.unionByName(own)
+        keyed = other if keyed is None else keyed.unionByName(other)
+    if probe is None:
+        return reps.sparkSession.createDataFrame([], "place bigint, holder bigint")
+    keyed = durable(keyed.join(probe.select("key").distinct(), "key", "left_semi"))
+    counts = keyed.groupBy("key").agg(F.count("*").alias("n"))
+    rarest = probe.join(counts, "key").groupBy("place").agg(F.min(F.struct("n", "key")).alias("b"), F.any_value("seq").alias("_p"))
+    rarest = durable(rarest.select("place", "_p", "b.n", "b.key"))
+    bases = reps.select(F.col("place").alias("holder"), F.col("seq").alias("_h"))
+
+    def check(wanted: DataFrame, tried: DataFrame) -> DataFrame:
+        pairs = wanted.join(tried, "key").filter("holder <> place").join(bases, "holder")
+        inside = (F.octet_length("_p") < F.octet_length("_h")) & F.contains("_h", F.col("_p"))
+        return durable(pairs.filter(inside).select("place", "holder"))
+
+    if first is None:
+        return check(rarest, keyed)
+    order = Window.partitionBy("key").orderBy("holder")
+    near = check(rarest, keyed.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= first).drop("r"))
+    rest = rarest.filter(F.col("n") > first).join(near.select("place").distinct(), "place", "left_anti")
+    return near.unionByName(check(rest, keyed))
+
+
+def _pieces(reps: DataFrame, places: DataFrame, centroids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(centroids, matches) among new pieces: sequences under 64 bases that allow no edit.
+
+    places are those of the new ones not matched so far; they meet all centroids and each other. Most find their earliest
+    holder among the first holders of their word.
+    """
+    pieces = reps.join(places, "place", "left_semi").select("place", "length")
+    holders = centroids.select("place").union(pieces.select("place"))
+    found = _held(pieces.filter("length > 0"), holders, reps, FIRST_HOLDERS)
+    # An empty sequence is a stretch of any other.
+    head = holders.agg(F.min("place")).first()[0]
+    empty = pieces.filter(F.col("length") == 0).filter(F.col("place") > F.lit(head)).select("place", F.lit(head).cast("bigint").alias("holder"))
+    best = durable(found.unionByName(empty).filter("holder < place").groupBy("place").agg(F.min("holder").alias("centroid_place")))
+    bases = reps.select("place", F.col("seq").alias("_p"))
+    heads = reps.select(F.col("place").alias("centroid_place"), F.col("seq").alias("_h"))
+    at = F.expr("cast(instr(_h, _p) - 1 as int)")
+    matches = best.join(bases, "place").join(heads, "centroid_place").select(
+        "place", "centroid_place", F.lit(0).alias("edits"), F.greatest(at, F.lit(0)).alias("offset"))
+    return durable(_without(pieces.select("place"), best.select("place"))), durable(matches)
+
+
 def _without(df: DataFrame, other: DataFrame, key: str = "place") -> DataFrame:
     return df.join(other.select(F.col(key).alias("place")), "place", "left_anti")
 
@@ -147,7 +257,8 @@ def _only(df: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def _rounds(
-    reps: DataFrame, probes: DataFrame, index: DataFrame, open_: DataFrame, rest: DataFrame, identity: float
+    reps: DataFrame, sketches: DataFrame, probes: DataFrame, index: DataFrame, open_: DataFrame, rest: DataFrame,
+    identity: float,
 ):
     """Resolve all open places; yields (centroids, matches) per round.
 
@@ -163,12 +274,12 @@ def _rounds(
         unsettled = ours.join(heads, ["key", "place"], "left_anti")
         settled = _without(open_, unsettled.select("place").distinct())
         if m > 1:
-            blocked = _verify(_meet(_only(ours, settled), heads), reps, identity)
+            blocked = _verify(_share_enough(_meet(_only(ours, settled), heads), sketches), reps, identity)
             new = durable(_without(settled, blocked.select("place").distinct()))
         else:
             new = durable(settled)
         rest = _without(rest, new)
-        found = durable(_verify(_meet(_only(probes, rest), _only(index, new)), reps, identity))
+        found = durable(_verify(_share_enough(_meet(_only(probes, rest), _only(index, new)), sketches), reps, identity))
         yield new, found
         covered = found.select("place").distinct()
         open_ = durable(_without(_without(open_, new), covered))
@@ -176,15 +287,27 @@ def _rounds(
         m = min(m * 4, MAX_HEADS)
 
 
-def _against_existing(reps: DataFrame, probes: DataFrame, index: DataFrame, identity: float) -> DataFrame:
+def _against_existing(reps: DataFrame, sketches: DataFrame, probes: DataFrame, index: DataFrame, identity: float) -> DataFrame:
     """Matches of new sequences with existing centroids; either may be the shorter one."""
     sides = reps.select("place", "priority", "length")
     old, new = sides.filter("priority = 0"), sides.filter("priority = 1")
-    by_new = _meet(_only(probes, new), _only(index, old))
+    sizes = reps.select("place", "length")
+    old_sizes = sizes.withColumnsRenamed({"place": "centroid_place", "length": "_c"})
+    by_new = _meet(_only(probes, new), _only(index, old)).join(sizes, "place").join(old_sizes, "centroid_place").filter("length <= _c")
     by_old = _only(probes, old).select("key", F.col("place").alias("centroid_place")).join(
         _only(index, new), "key"
-    ).select("place", "centroid_place")
-    return durable(_verify(by_new.union(by_old).distinct(), reps, identity))
+    ).select("place", "centroid_place").distinct().join(sizes, "place").join(old_sizes, "centroid_place").filter("_c < length")
+    names = ["place", "centroid_place"]
+    pairs = _share_enough(by_new.select(*names), sketches).union(
+        _share_enough(by_old.select(*names), sketches, "centroid_place", "place"))
+    # Existing pieces may stand in any longer new sequence.
+    pieces = old.filter(F.col("length") < _edit_length(identity))
+    held = _held(pieces.filter("length > 0").select("place", "length"), new.select("place"), reps, None)
+    pairs = pairs.union(held.select(F.col("holder").alias("place"), F.col("place").alias("centroid_place")))
+    empty = pieces.filter("length = 0").agg(F.min("place")).first()[0]  # there is one at most
+    if empty is not None:
+        pairs = pairs.union(new.filter("length > 0").select("place", F.lit(empty).cast("bigint").alias("centroid_place")))
+    return durable(_verify(pairs, reps, identity))
 
 
 def greedy_cluster(seqs: DataFrame, identity: float = 0.999, existing: DataFrame | None = None) -> Clusters:
@@ -198,22 +321,26 @@ def greedy_cluster(seqs: DataFrame, identity: float = 0.999, existing: DataFrame
 
     every = rows(seqs, 1) if existing is None else rows(existing, 0).unionByName(rows(seqs, 1))
     reps = _representatives(every)
-    probes, index = _anchors(reps, identity)
-    places = reps.select("place", "priority")
-    open_ = durable(places.filter("priority = 1").select("place"))
+    sketches = _sketches(reps, identity)
+    probes, index = _anchors(sketches)
+    places = reps.select("place", "priority", "length")
+    new = places.filter("priority = 1")
     centroids = places.filter("priority = 0").select("place")
-    matches = None
-    rest = open_
-    if existing is not None:
-        matches = _against_existing(reps, probes, index, identity)
-        open_ = durable(_without(rest, matches.select("place").distinct()))
-    for new, found in _rounds(reps, probes, index, open_, rest, identity):
-        centroids = centroids.union(new.select("place"))
-        matches = found if matches is None else matches.unionByName(found)
-    if matches is None:
-        matches = places.filter("false").select(
-            "place", F.col("place").alias("centroid_place"), F.lit(0).alias("edits"), F.lit(0).alias("offset")
-        )
+    none = places.filter("false").select(
+        "place", F.col("place").alias("centroid_place"), F.lit(0).alias("edits"), F.lit(0).alias("offset")
+    )
+    matches = none if existing is None else _against_existing(reps, sketches, probes, index, identity)
+    with_edits = durable(new.filter(F.col("length") >= _edit_length(identity)).select("place"))
+    covered = matches.select("place").distinct()
+    open_ = with_edits if existing is None else durable(_without(with_edits, covered))
+    for found_heads, found in _rounds(reps, sketches, probes, index, open_, with_edits, identity):
+        centroids = centroids.union(found_heads.select("place"))
+        matches = matches.unionByName(found)
+    centroids = durable(centroids)
+    pieces = new.filter(F.col("length") < _edit_length(identity)).select("place")
+    if not pieces.isEmpty():
+        heads, found = _pieces(reps, pieces if existing is None else _without(pieces, covered), centroids)
+        centroids, matches = centroids.union(heads), matches.unionByName(found)
     return _result(every, reps, durable(centroids), matches)
 
 
@@ -260,40 +387,63 @@ def similarity_pairs(clusters: Clusters) -> DataFrame:
 
 
 def consensus(clusters: Clusters) -> DataFrame:
-    """Majority base per centroid column: (cluster_id, operon_id, seq).
+    """Majority base per centroid column: (cluster_id, operon_id, seq). See consensus_of."""
+    reps = clusters.representatives.select("seqid", "seq", "copies")
+    # Copies other than the representative have no row here; they vote with its number of copies.
+    return consensus_of(clusters.members.select("cluster_id", "seqid", "is_centroid", "edits").join(reps, "seqid"))
+
 
-    Members that align to their centroid without gaps vote on the columns they
-    cover; members with a gap do not vote. The most common base wins, the
-    centroid's own on a tie. Copies of one sequence vote with their number.
+def consensus_of(ballots: DataFrame, identity: float | None = None) -> DataFrame:
+    """(cluster_id, operon_id, seq) of given clusters: the most common base in every column of the centroid.
+
+    ballots: cluster_id, seqid, seq, is_centroid, copies, and edits, the most that a member may differ; without edits,
+    identity gives them. Every member votes on the columns it covers, with its copies: a base, a gap, or bases behind a
+    column. A base behind a column enters when more members have it than have not. The centroid wins ties, then the
+    greater base. A member above its limit does not vote.
+
+    Votes are sparse: only where a member differs from its centroid is there a row, and what agrees follows from the
+    number of members that cover the column. Windows run over the columns of one centroid that differ.
     """
-    votes = clusters.members.filter(F.col("offset").isNotNull()).select(
-        "cluster_id", "seqid", "offset", "is_centroid"
-    )
-    reps = clusters.representatives.select("seqid", "seq", "copies")
-    ballots = votes.join(reps, "seqid")  # copies other than the representative have no row here
-    several = (
-        ballots.groupBy("cluster_id").agg(F.count("*").alias("n")).filter("n > 1").select("cluster_id")
+    heads = ballots.filter("is_centroid").select("cluster_id", F.col("seqid").alias("operon_id"), F.col("seq").alias("_c"), F.col("copies").alias("_own"))
+    short = F.least(F.octet_length("seq"), F.octet_length("_c"))
+    limit = F.col("edits") if identity is None else F.floor(F.lit(1 - identity) * short + F.lit(1e-9)).cast("int")
+    script = member_scripts("seq", "_c", limit)
+    others = ballots.filter(~F.col("is_centroid")).join(heads.drop("operon_id", "_own"), "cluster_id")
+    scripts = written(others.select("cluster_id", "copies", script.alias("s")).filter("s.start is not null").select("cluster_id", "copies", "s.*"), "member-scripts")
+    votes = scripts.select("cluster_id", "copies", F.explode("diffs").alias("d")).groupBy("cluster_id", "d.column", "d.place", "d.base").agg(F.sum("copies").alias("n"))
+    votes = durable(votes.withColumn("behind", F.col("place") > 0))
+    # Members that cover a column, or both a column and the next one: a running sum over where stretches begin and end.
+    ends = scripts.select("cluster_id", F.explode(F.array(
+        F.struct(F.lit(False).alias("behind"), F.col("start").alias("at"), F.col("copies").alias("by")),
+        F.struct(F.lit(False).alias("behind"), F.col("stop").alias("at"), (-F.col("copies")).alias("by")),
+        F.struct(F.lit(True).alias("behind"), F.col("start").alias("at"), F.col("copies").alias("by")),
+        F.struct(F.lit(True).alias("behind"), F.greatest(F.col("stop") - 1, F.col("start")).alias("at"), (-F.col("copies")).alias("by")),
+    )).alias("e")).groupBy("cluster_id", "e.behind", "e.at").agg(F.sum("e.by").alias("by"))
+    columns = votes.select("cluster_id", "behind", F.col("column").alias("at")).distinct()
+    order = Window.partitionBy("cluster_id", "behind").orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    cover = (
+        ends.filter(F.col("by") != 0).withColumn("asked", F.lit(False))
+        .unionByName(columns.withColumns({"by": F.lit(0).cast("bigint"), "asked": F.lit(True)}))
+        .withColumn("cover", F.sum("by").over(order)).filter("asked")
+        .select("cluster_id", "behind", F.col("at").alias("column"), "cover")
     )
-    bases = ballots.join(several, "cluster_id", "left_semi").select(
-        "cluster_id", "copies", "is_centroid",
-        F.posexplode(F.split("seq", "")).alias("pos", "base"), "offset",
-    )
-    columns = (
-        bases.groupBy("cluster_id", (F.col("pos") + F.col("offset")).alias("pos"), "base")
-        .agg(F.sum("copies").alias("n"), F.bool_or("is_centroid").alias("own"))
-        .groupBy("cluster_id", "pos")
-        .agg(F.max(F.struct("n", "own", "base")).alias("top"), F.bool_or("own").alias("inside"))
-        .filter("inside")
-    )
-    # One row per column of one centroid: bounded by the length of the sequence.
-    voted = columns.groupBy("cluster_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("pos", "top.base"))), lambda c: c["base"]), ""
-        ).alias("voted")
-    )
-    heads = clusters.members.filter("is_centroid").select("cluster_id", "seqid")
-    return (
-        heads.join(reps, "seqid")
-        .join(voted, "cluster_id", "left")
-        .select("cluster_id", F.col("seqid").alias("operon_id"), F.coalesce("voted", "seq").alias("seq"))
+    against = votes.groupBy("cluster_id", "column", "place", "behind").agg(
+        F.sum("n").alias("differ"), F.max(F.struct("n", "base")).alias("top"))
+    won = (
+        against.join(cover, ["cluster_id", "behind", "column"]).join(heads.select("cluster_id", "_own"), "cluster_id")
+        .filter(F.col("top.n") > F.col("_own") + F.col("cover") - F.col("differ"))
+        .select("cluster_id", F.struct("column", "place", F.col("top.base").alias("base")).alias("change"))
     )
+    # At most a few changes per column of one sequence.
+    changes = won.groupBy("cluster_id").agg(F.array_sort(F.collect_list("change")).alias("changes"))
+
+    def step(done: Column, change: Column) -> Column:
+        keep = change["column"] + F.when(change["place"] > 0, 1).otherwise(0) - done["at"]
+        kept = F.substring(F.col("_c"), done["at"] + 1, keep)
+        base = F.when(change["base"] == "-", "").otherwise(change["base"])
+        return F.struct(F.concat(done["out"], kept, base).alias("out"), (change["column"] + 1).alias("at"))
+
+    folded = F.aggregate("changes", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step)
+    merged = heads.join(changes, "cluster_id", "left").withColumn("f", F.when(F.col("changes").isNotNull(), folded))
+    tail = F.substring(F.col("_c"), F.col("f.at") + 1, F.length("_c"))
+    return merged.select("cluster_id", "operon_id", F.coalesce(F.concat("f.out", tail), F.col("_c")).alias("seq"))

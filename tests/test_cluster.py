@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from rrnlake.functions.alignment import infix_edits
+from rrnlake.functions.alignment import infix_edits, member_script
+from rrnlake.functions.minimizers import anchor_span
 from rrnlake.operators import cluster
 
 
@@ -48,15 +49,19 @@ def make_sequences(seed, families=12, members=9):
                 cut = rng.randrange(0, max(1, len(root) - 70))
                 piece = root[cut:cut + rng.randrange(70, 700)]
             out.append(mutate(rng, piece, rng.choice([0, 0, 1, 2, 4, 8])))
-    out += [block, block, out[0], "ACGT", "ACGT", "GG"]
+    out += [block, block, out[0], "ACGT", "ACGT", "GG", "", ""]
+    roots = [s for s in out if len(s) > 66]
+    for _ in range(40):  # pieces of every length, most of them inside a longer sequence
+        root = rng.choice(roots)
+        cut = rng.randrange(0, len(root) - 65)
+        piece = root[cut:cut + rng.randrange(1, 64)]
+        out.append(mutate(rng, piece, 1) if rng.random() < 0.4 else piece)
     rng.shuffle(out)
     return [(f"s{i:03d}", s) for i, s in enumerate(out)]
 
 
 def match(a, b, identity):
     """Edits if the two match, else None."""
-    if min(len(a), len(b)) < cluster.FLOOR:
-        return 0 if a == b else None
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     limit = int((1 - identity) * len(short) + 1e-9)
     edits = infix_edits(short.encode(), long.encode(), limit)  # checked against edit_table below
@@ -160,3 +165,105 @@ def test_infix_edits_equals_full_table():
         for limit in range(min(5, len(short))):
             want = edit_table(short, long)
             assert infix_edits(short.encode(), long.encode(), limit) == (want if want <= limit else -1)
+
+
+def rebuilt(centroid, start, stop, differences):
+    """The member that a script describes, as far as the centroid's columns go."""
+    own = {(c, p): b for c, p, b in differences}
+    out = []
+    for column in range(start - 1, stop):
+        if column >= start:
+            base = own.get((column, 0), centroid[column])
+            out.append("" if base == "-" else base)
+        place = 1
+        while (column, place) in own:
+            out.append(own[column, place])
+            place += 1
+    return "".join(out)
+
+
+def test_scripts_rebuild_members_with_fewest_edits():
+    rng = random.Random(12)
+    for _ in range(400):
+        letters = "ACGT"[: rng.choice([2, 4])]
+        one = "".join(rng.choice(letters) for _ in range(rng.randrange(8, 60)))
+        cut = rng.randrange(0, len(one) - 5)
+        two = mutate(rng, one[cut:cut + rng.randrange(5, 40)], rng.randrange(5))
+        want = edit_table(*sorted((one, two), key=len)) if len(one) != len(two) else edit_table(two, one)
+        for member, centroid in ((two, one), (one, two)):
+            if len(one) == len(two) and member is one:
+                continue
+            assert want == 0 or member_script(member.encode(), centroid.encode(), want - 1) is None
+            start, stop, differences = member_script(member.encode(), centroid.encode(), want + 1)
+            assert len(differences) == want
+            back = rebuilt(centroid, start, stop, differences)
+            assert back == member if len(member) <= len(centroid) else back in member
+
+
+def test_equal_gaps_get_one_place():
+    centroid = "ACGTTTTTACGCGCGCAGT"
+    for cut in range(3, 8):
+        assert member_script((centroid[:cut] + centroid[cut + 1:]).encode(), centroid.encode(), 2)[2] == [(3, 0, "-")]
+        assert member_script((centroid[:cut] + "T" + centroid[cut:]).encode(), centroid.encode(), 2)[2] == [(2, 1, "T")]
+    for cut in (9, 10, 11, 12, 13):
+        assert member_script((centroid[:cut] + centroid[cut + 2:]).encode(), centroid.encode(), 2)[2] == [(9, 0, "-"), (10, 0, "-")]
+
+
+def test_consensus_counts_gaps_and_insertions(spark):
+    """Votes known from planted edits, at places where an edit can be read in one way only."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for cluster_id in range(40):
+        centroid = "ACGT" * 3 + "".join(rng.choice("ACGT") for _ in range(280))
+        sites = [c for c in range(30, 260, 25) if len({centroid[c - 1], centroid[c], centroid[c + 1]}) == 3]
+        edits = {c: rng.choice(["sub", "del", "ins"]) for c in sites}
+        letter = {c: next(x for x in "GATC" if x not in (centroid[c - 1], centroid[c], centroid[c + 1])) for c in sites}
+        weights = rng.randrange(1, 4)
+        rows.append((cluster_id, f"c{cluster_id}", centroid, True, weights, 0))
+        members = []
+        for m in range(rng.randrange(1, 8)):
+            start, stop = rng.randrange(0, 20), rng.randrange(240, len(centroid) + 1)
+            own = {c for c in sites if rng.random() < 0.55 and start + 8 < c < stop - 8}
+            seq = "".join(
+                (letter[c] if edits[c] == "sub" else "" if edits[c] == "del" else centroid[c] + letter[c]) if c in own else centroid[c]
+                for c in range(start, stop))
+            copies = rng.randrange(1, 4)
+            members.append((start, stop, own, copies))
+            rows.append((cluster_id, f"m{cluster_id}_{m}", seq, False, copies, len(own)))
+        out = []
+        for c in range(len(centroid)):
+            base, behind = centroid[c], ""
+            if c in edits:
+                have = sum(w for _, _, own, w in members if c in own)
+                cover = sum(w for a, b, _, w in members if a <= c and c + (edits[c] == "ins") < b)
+                if have > weights + cover - have:
+                    base, behind = {"sub": (letter[c], ""), "del": ("", ""), "ins": (base, letter[c])}[edits[c]]
+            out.append(base + behind)
+        want[cluster_id] = "".join(out)
+    df = spark.createDataFrame(rows, "cluster_id long, seqid string, seq string, is_centroid boolean, copies long, edits int")
+    got = {r.cluster_id: (r.operon_id, r.seq) for r in cluster.consensus_of(df).collect()}
+    assert got == {k: (f"c{k}", v) for k, v in want.items()}
+    assert sum(want[r[0]] != r[2] for r in rows if r[3]) > 20
+    loose = {r.cluster_id: r.seq for r in cluster.consensus_of(df.drop("edits"), 0.95).collect()}
+    assert loose == want
+    assert cluster.consensus_of(df.limit(0)).count() == 0
+
+
+def test_spans_hold_for_all_lengths():
+    for identity in (0.9, 0.97, 0.985, 0.99, 0.999, 1.0):
+        for low, high in ((64, 64), (64, 300), (8, 15), (34, 63), (100, 3000)):
+            spans = [-(-(n - d) // (d + 1)) for n in range(low, high + 1) for d in [int((1 - identity) * n + 1e-9)]]
+            assert anchor_span(identity, low, high) == min(spans)
+
+
+def test_pieces_join_and_existing_pieces_win(spark):
+    rng = random.Random(21)
+    root = "".join(rng.choice("ACGT") for _ in range(300))
+    rows = [("long", root), ("p60", root[50:110]), ("p63", root[200:263]), ("p9", root[100:109]), ("other", "GTCA" * 12), ("none", "")]
+    df = spark.createDataFrame(rows, "seqid string, seq string")
+    found = {r.seqid: r.centroid for r in cluster.greedy_cluster(df, 0.999).members.collect()}
+    assert found == sequential(rows, 0.999) and found["p60"] == found["p63"] == found["p9"] == found["none"] == "long"
+    for old in ([rows[1]], [rows[3], rows[4]], [rows[5]]):
+        new = [r for r in rows if r not in old]
+        got = cluster.cluster_incremental(*(spark.createDataFrame(x, df.schema) for x in (old, new)), 0.999)
+        assert {r.seqid: r.centroid for r in got.members.collect()} == sequential(new, 0.999, old)

@@ -16,7 +16,8 @@ from rrnlake.operators import operons, stats, taxonomy
 SELECTED = [
     "fasta_scan", "gff_scan", "assembly_lookup", "operon_qc", "copy_number_stats", "genome_length_stats", "split_id",
     "tax_combined", "lineage_resolve", "lineage_format", "extract_operons", "exact_dedupe", "insilico_pcr", "extract_reads",
-    "extract_reads_tolerant", "nb_classify", "ani_pairs",
+    "extract_reads_tolerant", "nb_classify", "ani_pairs", "contained_clusters", "contained_pairs", "contained_merge",
+    "cluster_consensus",
 ]
 NAMES = sorted(ORACLES) if os.environ.get("ALL_TWINS") else SELECTED
 

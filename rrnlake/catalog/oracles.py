@@ -366,17 +366,11 @@ def _strand_cut(start: str, end: str) -> str:
     return f"CASE WHEN strand = '-' THEN reverse(translate({piece}, 'ACGT', 'TGCA')) ELSE {piece} END"
 
 
-ORACLES["insilico_pcr"] = _with(SEQS, _sites(), """products AS (
-  SELECT l.seqid, l.pair, l.strand, CAST(l.pos AS INTEGER) AS start, CAST(r.pos + l.rlen - 1 AS INTEGER) AS "end"
-  FROM sites l JOIN sites r ON l.seqid = r.seqid AND l.pair = r.pair AND l.strand = r.strand
-  WHERE l.side = 'L' AND r.side = 'R' AND r.pos >= l.pos + l.llen AND r.pos + l.rlen - l.pos <= 400)""") + f"""SELECT
-  seqid, pair, strand, start, "end", "end" - start + 1 AS length, {_strand_cut('start', '"end"')} AS amplicon
-FROM products JOIN seqs USING (seqid)"""
 _LONG = " UNION ALL ".join(
     f"SELECT seqid, '{pair}' AS pair, '{strand}' AS strand, '{side}' AS side, i AS pos FROM long_words WHERE regexp_full_match(w, '{_re(p)}')"
     for pair, fwd, rev in (("L1", "CACNCGYA", "TAGGNTAR"), ("L2", "CACCACTA", "AGTGYATT"))
     for strand, left, right in (("+", fwd, _rc(rev)), ("-", rev, _rc(fwd))) for side, p in (("L", left), ("R", right)))
-ORACLES["insilico_pcr_long"] = _with(
+ORACLES["insilico_pcr"] = _with(
     SEQS, "long_words AS (SELECT seqid, i, substring(seq, i, 8) AS w FROM seqs, unnest(range(1, length(seq) - 6)) t(i))",
     f"long_sites AS ({_LONG})", """products AS (
   SELECT l.seqid, l.pair, l.strand, CAST(l.pos AS INTEGER) AS start, CAST(r.pos + 7 AS INTEGER) AS "end"

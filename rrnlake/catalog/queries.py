@@ -449,13 +449,7 @@ def consensus(spark, folder):
 
 @query
 def insilico_pcr(spark, folder):
-    """All products of up to 400 bases; primers of four or five bases have sites everywhere."""
-    return primers.insilico_pcr(_seqs(spark, folder), b.SHORT_PRIMERS, max_len=400)
-
-
-@query
-def insilico_pcr_long(spark, folder):
-    """All products of up to the reference's 10,000 bases; primers of eight bases."""
+    """All products of up to 10,000 bases; primers of eight bases, as shorter ones have sites everywhere."""
     return primers.insilico_pcr(_seqs(spark, folder), b.LONG_PRIMERS)
 
 

@@ -205,19 +205,35 @@ def current_taxids(taxids: DataFrame, merged: DataFrame) -> DataFrame:
     )
 
 
+def with_ancestors(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The nodes of wanted (tax_id) and all above them: a frontier goes up a step a round and never over a node twice.
+
+    One round per level of the tree; a cycle ends as its nodes are seen. Only what is needed of a large tree is kept.
+    """
+    frontier = durable(wanted.select("tax_id").distinct())
+    seen = []
+    while not frontier.isEmpty():
+        seen.append(durable(nodes.join(frontier, "tax_id", "left_semi")))
+        above = seen[-1].select(F.col("parent_id").alias("tax_id")).distinct()
+        frontier = durable(above.join(_all(seen).select("tax_id"), "tax_id", "left_anti"))
+    return _all(seen) if seen else nodes.filter("false")
+
+
 def node_paths(nodes: DataFrame, names: DataFrame) -> DataFrame:
     """Path of every node from below the root down to itself, as (rank, name) structs.
 
     Pointer doubling: each round joins a node's path to the path of the node it
-    points to, so depth d takes log2(d) joins. Finished nodes leave the loop.
+    points to, so depth d takes log2(d) joins. Finished nodes leave the loop. A
+    node whose way up comes back to itself, or leads into such nodes, has a NULL path.
     """
+    kind = "array<struct<tax_id:bigint,rank:string,name:string>>"
     named = nodes.join(names, "tax_id", "left")
-    step = F.struct(F.col("rank"), F.col("name"))
+    step = F.struct("tax_id", "rank", "name")
     root = F.col("parent_id") == F.col("tax_id")
     state = durable(
         named.select(
             "tax_id",
-            F.when(root, F.array().cast("array<struct<rank:string,name:string>>")).otherwise(F.array(step)).alias("path"),
+            F.when(root, F.array().cast(kind)).otherwise(F.array(step)).cast(kind).alias("path"),
             F.when(~root, F.col("parent_id")).alias("up"),
         )
     )
@@ -229,28 +245,43 @@ def node_paths(nodes: DataFrame, names: DataFrame) -> DataFrame:
         if active.isEmpty():
             break
         above = _all(done, active).select(
-            F.col("tax_id").alias("up"), F.col("path").alias("_upper"), F.col("up").alias("_next")
-        )
-        state = durable(
-            active.join(above, "up", "left").select(
-                "tax_id",
-                F.concat(F.coalesce("_upper", F.array().cast("array<struct<rank:string,name:string>>")), "path").alias("path"),
-                F.col("_next").alias("up"),
-            )
+            F.col("tax_id").alias("up"), F.col("path").alias("_upper"), F.col("up").alias("_next"), F.lit(True).alias("_there")
         )
-    return _all(done).select("tax_id", "path")
+        joined = active.join(above, "up", "left").withColumn(
+            "path", F.concat(F.when(F.col("_there"), F.col("_upper")).otherwise(F.array().cast(kind)), "path"))
+        loops = F.col("path").isNull() | F.coalesce(F.exists("path", lambda p: p["tax_id"] == F.col("_next")), F.lit(False))
+        state = durable(joined.select(
+            "tax_id", F.when(~loops, F.col("path")).alias("path"), F.when(~loops, F.col("_next")).alias("up")))
+    plain = F.transform("path", lambda p: F.struct(p["rank"].alias("rank"), p["name"].alias("name")))
+    return _all(done).select("tax_id", plain.alias("path"))
 
 
 def _all(parts: list[DataFrame], *more: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [*parts, *more])
 
 
-def lineage_resolve(taxids: DataFrame, nodes: DataFrame, names: DataFrame, merged: DataFrame) -> DataFrame:
-    """Rows with a taxid to their full lineage (path structs and ';' joined names)."""
+def lineage_resolve(
+    taxids: DataFrame, nodes: DataFrame, names: DataFrame, merged: DataFrame, deleted: DataFrame | None = None
+) -> DataFrame:
+    """Rows with a taxid to their full lineage (path structs and ';' joined names), and how it was found (status).
+
+    status: current, merged (found under its new id), deleted (in `deleted`, tax_id), unknown (in no table), or cycle (the
+    tree leads back to the node). Only the first two have a path.
+    """
     current = current_taxids(taxids, merged)
-    paths = node_paths(nodes, names).withColumnRenamed("tax_id", "current_taxid")
+    needed = with_ancestors(nodes, current.select(F.col("current_taxid").alias("tax_id")))
+    paths = node_paths(needed, names).select(F.col("tax_id").alias("current_taxid"), "path", F.lit(True).alias("_known"))
+    found = current.join(paths, "current_taxid", "left")
+    gone = F.lit(False)
+    if deleted is not None:
+        found = found.join(deleted.select(F.col("tax_id").alias("current_taxid"), F.lit(True).alias("_gone")).distinct(), "current_taxid", "left")
+        gone = F.col("_gone").isNotNull()
+    status = (
+        F.when(F.col("path").isNotNull(), F.when(F.col("current_taxid") == F.col("taxid"), "current").otherwise("merged"))
+        .when(F.col("_known"), "cycle").when(gone, "deleted").otherwise("unknown")
+    )
     text = F.array_join(F.transform("path", lambda p: p["name"]), ";")
-    return current.join(paths, "current_taxid", "left").withColumn("lineage", text)
+    return found.withColumns({"lineage": text, "status": status}).drop("_known", "_gone")
 
 
 def lineage_format(resolved: DataFrame) -> DataFrame:

@@ -100,6 +100,23 @@ def test_lineage_resolution(spark):
     assert line["a"] == "k__Bacteria|p__P|c__|o__|f__|g__G|s__G s|t__G s x"
 
 
+def test_cycles_end_and_deleted_taxids_are_told(spark):
+    up = {1: 1, 2: 1, 3: 2, 4: 3, 10: 11, 11: 12, 12: 10, 13: 12, 14: 13, 20: 99, 30: 30, **{k: k - 1 for k in range(101, 140)}, 100: 1}
+    nodes = spark.createDataFrame([(k, v, "no rank") for k, v in up.items()], "tax_id long, parent_id long, rank string")
+    names = spark.createDataFrame([(k, f"n{k}") for k in up], "tax_id long, name string")
+    merged = spark.createDataFrame([(500, 4), (501, 14)], "old_id long, new_id long")
+    deleted = spark.createDataFrame([(600,), (600,), (4,)], "tax_id long")
+    wanted = [4, 10, 13, 14, 20, 500, 501, 600, 700, 139, 1, None]
+    taxids = spark.createDataFrame([(str(t), t) for t in wanted], "accession string, taxid long")
+    got = {r.taxid: (r.status, r.lineage) for r in taxonomy.lineage_resolve(taxids, nodes, names, merged, deleted).collect()}
+    assert got == {
+        4: ("current", "n2;n3;n4"), 500: ("merged", "n2;n3;n4"), 10: ("cycle", None), 13: ("cycle", None), 14: ("cycle", None),
+        501: ("cycle", None), 20: ("current", "n20"), 600: ("deleted", None), 700: ("unknown", None), 1: ("current", ""),
+        139: ("current", ";".join(f"n{k}" for k in range(100, 140)))}
+    kept = {r.tax_id for r in taxonomy.with_ancestors(nodes, spark.createDataFrame([(4,), (14,)], "tax_id long")).collect()}
+    assert kept == {1, 2, 3, 4, 10, 11, 12, 13, 14}
+
+
 def test_rank_explode_keeps_missing_lineage(spark):
     df = spark.createDataFrame([("a", "k__B|p__P|c__C|o__O|f__F|g__G|s__S|t__T"), ("b", None)], "assembly string, lineage string")
     rows = stats.rank_explode(df, NCBI, ("assembly",)).collect()

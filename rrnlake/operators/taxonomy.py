@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rrnlake.config import GTDB, RANK_NAMES, TaxonomySystem
 from rrnlake.functions.lineage import SEP, cut_below, split_ranks, strip_strain, unite_ranks
-from rrnlake.plans.durable import durable
+from rrnlake.plans.durable import durable, written
 
 RANKS = [r.lower() for r in RANK_NAMES]
 UNKNOWN = "Unknown"
@@ -210,6 +210,7 @@ def with_ancestors(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
 
     One round per level of the tree; a cycle ends as its nodes are seen. Only what is needed of a large tree is kept.
     """
+    nodes = written(nodes, "tree-nodes")  # read in every round
     frontier = durable(wanted.select("tax_id").distinct())
     seen = []
     while not frontier.isEmpty():

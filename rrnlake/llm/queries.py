@@ -229,7 +229,10 @@ def _license_sql() -> str:
     rules = licenses.LicenseRules()
     split = r"list_filter(regexp_split_to_array({}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    bodies = ", ".join("('{}', '{}')".format(label, body.lower().replace("'", "''")) for label, body in rules.templates)
+    told = dict(rules.telling)
+    bodies = ", ".join(
+        "('{}', '{}', ' {} ')".format(label, body.lower().replace("'", "''"), told[label]) if label in told
+        else "('{}', '{}', ' ')".format(label, body.lower().replace("'", "''")) for label, body in rules.templates)
     phrases = " UNION ALL ".join(
         f"SELECT doc_id, i, '{label}' AS label FROM places WHERE w[i + 1 : i + {len(p.split())}] = {p.split()}" for p, label in rules.phrases)
     return f"""
@@ -237,11 +240,13 @@ def _license_sql() -> str:
         places AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d),
         p AS ({phrases}),
         b AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS own FROM p GROUP BY doc_id),
-        l AS (SELECT doc_id, list_distinct({split.format('line')}) AS t FROM (SELECT doc_id, unnest(lines) AS line FROM d)),
-        m AS (SELECT label, list_distinct({split.format('body')}) AS t FROM (VALUES {bodies}) v(label, body)),
+        l AS (
+            SELECT doc_id, list_distinct(t) AS t, ' ' || array_to_string(t, ' ') || ' ' AS spaced
+            FROM (SELECT doc_id, {split.format('line')} AS t FROM (SELECT doc_id, unnest(lines) AS line FROM d))),
+        m AS (SELECT label, phrase, list_distinct({split.format('body')}) AS t FROM (VALUES {bodies}) v(label, body, phrase)),
         f AS (
             SELECT doc_id, list(DISTINCT label) AS more, max(len(list_intersect(m.t, l.t)) / len(m.t)) AS best
-            FROM l, m WHERE len(list_intersect(m.t, l.t)) >= ceil(len(m.t) * {rules.containment} - 1e-9) GROUP BY doc_id)
+            FROM l, m WHERE len(list_intersect(m.t, l.t)) >= ceil(len(m.t) * {rules.containment} - 1e-9) AND contains(l.spaced, m.phrase) GROUP BY doc_id)
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
                coalesce(array_to_string(list_sort(own), ','), '') AS base_labels,
                coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(more, [])))), ','), '') AS labels,

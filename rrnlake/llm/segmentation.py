@@ -15,7 +15,6 @@ import sys
 import types
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-KEEP_LENGTH, KEEP_CHUNKS = 64, 600_000  # of chunks whose segmentations a Python worker remembers
+KEEP_LENGTH, KEEP_BYTES = 64, 64 << 20  # of chunks whose segmentations a Python worker remembers
+CHUNK_BYTES, OPTION_BYTES = 220, 200  # about what one remembered chunk, or one alternative of it, takes beside its signs and ids
 ENCODED = "doc_id bigint, ids array<int>, nbest array<struct<score: double, edits: array<struct<start: int, length: int, ids: array<int>>>>>"
 
 
@@ -51,13 +51,21 @@ class PieceLattice:
         self.pieces = {own.id_to_piece(i): (own.get_score(i), i) for i in plain}
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece goes over the start of a white space run")
-        # A tree of characters; a node is [nodes by next character, score or None, id].
-        self.tree: dict[str, list] = {}
+        # A tree of characters; a node is [lookup of the nodes by next character, score or None, id].
+        grown: dict[str, list] = {}
+        every = []
         for piece, (score, i) in self.pieces.items():
-            nodes = self.tree
-            for c in piece[:-1]:
-                nodes = nodes.setdefault(c, [{}, None, -1])[0]
-            nodes.setdefault(piece[-1], [{}, None, -1])[1:] = score, i
+            nodes = grown
+            for c in piece:
+                if c not in nodes:
+                    nodes[c] = [{}, None, -1]
+                    every.append(nodes[c])
+                node = nodes[c]
+                nodes = node[0]
+            node[1:] = score, i
+        for node in every:
+            node[0] = node[0].get
+        self.tree = grown.get
         self.longest = max(map(len, self.pieces), default=0)
         self.unknown_id = own.unk_id()
         self.unknown_score = min((s for s, _ in self.pieces.values()), default=0.0) - 10
@@ -102,11 +110,11 @@ class PieceLattice:
 
         The second-best path leaves the best one, seen from the end, at one position by the second-best way to get there.
         """
-        n, tree = len(chunk), self.tree
+        n, tree, longest = len(chunk), self.tree, self.longest
         best, second, back = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [(0, -1)] * (n + 1)
         for s in range(n):
             here, e = best[s], s + 1
-            node = tree.get(chunk[s])
+            node = tree(chunk[s])
             if node is None or node[1] is None:
                 value, piece = here + self.unknown_score, -1
             else:
@@ -115,24 +123,37 @@ class PieceLattice:
                 second[e], best[e], back[e] = best[e], value, (s, piece)
             elif value > second[e]:
                 second[e] = value
-            while node is not None and e < n:
-                node = node[0].get(chunk[e])
+            if node is None:
+                continue
+            follow = node[0]
+            for c in chunk[e : s + longest]:
+                node = follow(c)
                 if node is None:
                     break
                 e += 1
-                if node[1] is not None:
-                    value = here + node[1]
+                follow, score, piece = node
+                if score is not None:
+                    value = here + score
                     if value > best[e]:
-                        second[e], best[e], back[e] = best[e], value, (s, node[2])
+                        second[e], best[e], back[e] = best[e], value, (s, piece)
                     elif value > second[e]:
                         second[e] = value
         at, path, gap = n, [], np.inf
         while at:
-            gap = min(gap, best[at] - second[at])
+            lost = best[at] - second[at]
+            if lost < gap:
+                gap = lost
             start, piece = back[at]
-            path.append((start, at, piece))
+            path.append(piece)
             at = start
-        return best[n], self._ids(chunk, path[::-1]), gap
+        path.reverse()
+        if not path or min(path) >= 0:
+            return best[n], tuple(path), gap
+        steps, at = [], n
+        while at:
+            steps.append((back[at][0], at, back[at][1]))
+            at = back[at][0]
+        return best[n], self._ids(chunk, steps[::-1]), gap
 
     def nbest(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """Up to n (loss against the best score, ids), best first.
@@ -168,50 +189,85 @@ class PieceLattice:
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
-@dataclass
 class _Memory:
-    """Best segmentations of the chunks met so far, forgotten when there are too many."""
+    """Best segmentations of the chunks met so far. When they take too many bytes, the quarter that most texts use stays.
 
-    lattice: PieceLattice
-    n: int
+    Ids of all chunks lie one after the other in one array; chunk k has flat[starts[k] : starts[k + 1]].
+    """
 
-    def __post_init__(self):
+    def __init__(self, lattice: PieceLattice, n: int, limit: int = KEEP_BYTES):
+        self.lattice, self.n, self.limit = lattice, n, limit
+        self._clear()
+
+    def _clear(self) -> None:
         self.places: dict[str, int] = {}
-        self.scores, self.gaps, self.ids, self.texts = array("d"), array("d"), [], []
-        self.lists: dict[str, list] = {}
-        self.long: list[str] = []
+        self.texts: list[str] = []
+        self.flat, self.starts = array("i"), array("q", [0])
+        self.scores, self.gaps, self.uses = array("d"), array("d"), array("i")
+        self.lists: dict[int, list] = {}
+        self.long: list[int] = []
+        self.held = 0
+
+    def _add(self, chunk: str, score: float, ids, gap: float, uses: int) -> int:
+        at = len(self.texts)
+        self.scores.append(score)
+        self.gaps.append(gap)
+        self.uses.append(uses)
+        self.flat.extend(ids)
+        self.starts.append(len(self.flat))
+        self.texts.append(chunk)
+        self.places[chunk] = at
+        self.held += CHUNK_BYTES + 2 * len(chunk) + 4 * len(ids)
+        return at
 
     def place(self, chunk: str) -> int:
         at = self.places.get(chunk)
         if at is None:
             score, ids, gap = self.lattice.best(chunk)
-            at = len(self.scores)
-            self.scores.append(score)
-            self.gaps.append(gap)
-            self.ids.append(ids)
-            self.texts.append(chunk)
-            self.places[chunk] = at
+            at = self._add(chunk, score, ids, gap, 0)
             if len(chunk) > KEEP_LENGTH:
-                self.long.append(chunk)
+                self.long.append(at)
         return at
 
+    def own(self, at: int) -> tuple[int, ...]:
+        return tuple(self.flat[self.starts[at] : self.starts[at + 1]])
+
     def alternatives(self, at: int) -> list[tuple[float, tuple[int, ...]]]:
-        chunk = self.texts[at]
-        if chunk not in self.lists:
-            found = self.lattice.nbest(chunk, self.n)
+        if at not in self.lists:
+            found = self.lattice.nbest(self.texts[at], self.n)
             # The best path comes first in either pass; equal scores are told apart by its ids.
-            own = self.ids[at]
-            self.lists[chunk] = [(0.0, own)] + [x for x in found if x[1] != own][: self.n - 1]
-        return self.lists[chunk]
+            own = self.own(at)
+            self.lists[at] = [(0.0, own)] + [x for x in found if x[1] != own][: self.n - 1]
+            self.held += sum(OPTION_BYTES + 8 * len(ids) for _, ids in self.lists[at])
+        return self.lists[at]
+
+    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+        """ids, where each chunk begins in them, sum of scores, gaps; counts the text as one use of its chunks."""
+        starts, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat, np.int32)
+        first = starts[places]
+        sizes = starts[places + 1] - first
+        begins = np.cumsum(sizes) - sizes
+        ids = flat[np.repeat(first - begins, sizes) + np.arange(int(sizes.sum()))]
+        uses = np.frombuffer(self.uses, np.int32)
+        uses[places] += 1
+        return ids, begins, float(np.frombuffer(self.scores)[places].sum()), np.frombuffer(self.gaps)[places]
 
     def trim(self) -> None:
-        if len(self.scores) > KEEP_CHUNKS:
-            self.__post_init__()
-        for chunk in self.long:  # not worth their room
-            at = self.places.pop(chunk)
-            self.ids[at], self.texts[at] = (), ""
-            self.lists.pop(chunk, None)
-        self.long = []
+        """Between texts: forget what is not worth its room."""
+        if self.held <= self.limit and len(self.long) <= 1000:
+            return
+        uses = np.array(self.uses)
+        uses[self.long] = 0  # long chunks hardly come again
+        most = np.flatnonzero(uses > 0)
+        most = most[np.argsort(-uses[most], kind="stable")]
+        old = self.texts, self.scores, self.gaps
+        room = self.limit if self.held <= self.limit else self.limit // 4
+        kept = [(old[0][k], old[1][k], self.own(k), old[2][k], int(uses[k]) // 2) for k in most[: room // CHUNK_BYTES].tolist()]
+        self._clear()
+        for one in kept:
+            if self.held > room:
+                break
+            self._add(*one)
 
 
 def _memory(model: bytes, n: int) -> _Memory:
@@ -226,7 +282,7 @@ def _memory(model: bytes, n: int) -> _Memory:
     return keep.memory
 
 
-def encode_text(memory: _Memory, text: str | None) -> tuple[list[int], list[tuple[float, list]]]:
+def _encoded(memory: _Memory, text: str | None) -> tuple[np.ndarray, list[tuple[float, list]]]:
     """(ids of the best segmentation, [(score, edits)] of up to n segmentations, best first).
 
     An edit (start, length, ids) replaces ids of the best segmentation. Null and empty texts have no ids and one
@@ -238,10 +294,9 @@ def encode_text(memory: _Memory, text: str | None) -> tuple[list[int], list[tupl
     for chunk in memory.lattice.chunks(text or ""):
         at = get(chunk)
         places.append(place(chunk) if at is None else at)
-    parts = [memory.ids[p] for p in places]
-    ids = [i for part in parts for i in part]
-    total = sum([memory.scores[p] for p in places])
-    gaps = np.array([memory.gaps[p] for p in places])
+    if not places:
+        return np.empty(0, np.int32), [(0.0, [])]
+    ids, begins, total, gaps = memory.gather(np.array(places))
     want = memory.n - 1
     if len(gaps) > 4 * want:  # the least gaps, and all that equal the last of them
         near = np.flatnonzero(gaps <= np.partition(gaps, max(want - 1, 0))[max(want - 1, 0)])
@@ -255,14 +310,19 @@ def encode_text(memory: _Memory, text: str | None) -> tuple[list[int], list[tupl
         grown = [(loss + more, picks + ((c, k),) if k else picks) for loss, picks in sums for k, (more, _) in enumerate(options)]
         grown.sort()
         sums = grown[: memory.n]
-    starts = {c: sum(map(len, parts[:c])) for c in chosen}
     found = []
     for loss, picks in sums:
-        edits = [(starts[c], len(parts[c]), list(memory.alternatives(places[c])[k][1])) for c, k in picks]
+        edits = [(int(begins[c]), len(memory.own(places[c])), list(memory.alternatives(places[c])[k][1])) for c, k in picks]
         found.append((total - loss, edits))
     return ids, found
 
 
+def encode_text(memory: _Memory, text: str | None) -> tuple[list[int], list[tuple[float, list]]]:
+    """As _encoded, with ids as a list."""
+    ids, found = _encoded(memory, text)
+    return ids.tolist(), found
+
+
 def encode_nbest(docs: DataFrame, n: int = 4, model_path: str = MODEL) -> DataFrame:
     """doc_id, ids and nbest of every document (see encode_text); other columns of docs are ignored.
 
@@ -281,8 +341,8 @@ def encode_nbest(docs: DataFrame, n: int = 4, model_path: str = MODEL) -> DataFr
                 part = batch.slice(first, 200)
                 ids, ends, lists = [], [0], []
                 for text in part.column("text"):
-                    own, found = encode_text(memory, text.as_py())
-                    ids.append(np.array(own, dtype=np.int32))
+                    own, found = _encoded(memory, text.as_py())
+                    ids.append(own)
                     ends.append(ends[-1] + len(own))
                     lists.append([{"score": s, "edits": [{"start": a, "length": k, "ids": i} for a, k, i in e]} for s, e in found])
                 values = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rrnlake.llm import simhash
 from rrnlake.llm.common import staged
 from rrnlake.llm.components import components
+from rrnlake.plans.sizing import broadcast_if_small
 
 # Executors need no copy of this package: the helpers travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -89,8 +90,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) ->
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("_a"), F.col("size").alias("_m"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("_b"), F.col("size").alias("_n"))
     sized = F.least("_m", "_n") >= F.greatest("_m", "_n") * F.lit(least) - F.lit(1e-9)
-    narrow = pairs.join(left.drop("_a"), "a").join(right.drop("_b"), "b").filter(sized).select("a", "b")
-    return narrow.join(left.drop("_m"), "a").join(right.drop("_n"), "b").filter(close("_a", "_b")).select("a", "b")
+    narrow = staged(pairs.join(left.drop("_a"), "a").join(right.drop("_b"), "b").filter(sized).select("a", "b"), "sized")
+    # Only texts of these pairs move: each left one, mostly the head of many pairs, and each right one.
+    left = left.drop("_m").join(broadcast_if_small(narrow.select("a").distinct()), "a", "left_semi")
+    right = right.drop("_n").join(broadcast_if_small(narrow.select("b").distinct()), "b", "left_semi")
+    return narrow.join(left, "a").join(right, "b").filter(close("_a", "_b")).select("a", "b")
 
 
 def _named(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -124,20 +128,23 @@ def similar_rows(docs: DataFrame, least: float = SIMILAR, shingle: int = SHINGLE
     wanted = sketches.join(live, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "_x")).alias("_f"), F.any_value("size").alias("size"))
     wanted = wanted.select("node", "size", F.col("_f.doc_id").alias("__a"), F.col("_f._x").alias("__b"))
     source = docs.select(F.col("doc_id").cast("bigint").alias("_d"), simhash._text_hash().alias("_h"), "text").withColumn("_e", F.coalesce("_d", F.lit(0)))
-    found = wanted.withColumn("__e", F.coalesce("__a", F.lit(0))).join(
-        source, (F.col("__e") == F.col("_e")) & (F.col("__b") == F.col("_h")) & F.col("__a").eqNullSafe(F.col("_d")))
+    wanted = broadcast_if_small(staged(wanted.withColumn("__e", F.coalesce("__a", F.lit(0))), "wanted"))
+    found = source.join(
+        wanted, (F.col("__e") == F.col("_e")) & (F.col("__b") == F.col("_h")) & F.col("__a").eqNullSafe(F.col("_d")))
     texts = staged(found.groupBy("node", "size").agg(F.min("text").alias("text")), "texts")
 
     def distinct_pairs(rows: DataFrame) -> DataFrame:
         return rows.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    bands = bands.select("key", "node")
     tested = staged(distinct_pairs(pairs), "pairs")
     links = staged(_verified(tested, texts, least, shingle), "links")
     for heads in HEADS:
-        # Bands whose nodes are in one component have nothing left to find.
-        rooted = _named(bands.select("key", "node"), links)
+        # Bands whose nodes are in one component have nothing left to find, now or in later rounds.
+        rooted = _named(bands, links)
         apart = rooted.groupBy("key").agg(F.min("root").alias("_r"), F.max("root").alias("_s")).filter("_r <> _s").select("key")
         open_ = staged(rooted.join(apart, "key", "left_semi"), "open")
+        bands = open_.select("key", "node")
         order = Window.partitionBy("key", "root").orderBy("node")
         firsts = open_ if heads is None else open_.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= heads)
         firsts = firsts.select("key", F.col("node").alias("a"), F.col("root").alias("_r"))

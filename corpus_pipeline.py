@@ -1,4 +1,4 @@
-"""A corpus from raw documents to piece ids: quality, line dedup, near-dedup, source mix, encoding.
+"""A corpus from raw documents to piece ids: quality, line dedup, SimHash near-dedup, source mix, encoding.
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir), docs being what the stage before kept, and all but
 the last return the columns of documents.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rrnlake.llm import linedup, mixing, quality, segmentation, similar
+from rrnlake.llm import linedup, mixing, quality, segmentation, simhash
 from rrnlake.llm.common import staged, table
 
 
@@ -24,8 +24,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: Jaccard similarity of 0.8 or more on shingles of five words."""
-    return similar.keep_one_similar(docs)
+    """One document of each component: SimHash of three-word shingles, linked at three or fewer differing bits.
+
+    Texts without words have fingerprint zero and are one component; rows without a doc_id all stay.
+    """
+    return simhash.keep_one(docs, most=3, shingle=3)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from rrnlake.llm import components, linedup, quality, simhash
+from rrnlake.llm import components, linedup, mixing, quality, simhash
 from rrnlake.llm.common import table
 from tests.llm.helpers import HARD, clashing, docs
 
@@ -15,11 +15,12 @@ RULES = linedup.LineRules()
 
 def brute_lines(rows):
     """{(doc_id, text): new text} by comparing every stretch with all before it."""
-    cut, seen, out = re.compile(r"(?<=\n)|(?<=[.!?] )"), {}, {}
+    cut, seen, out = re.compile(r"(?<=\n)(?!\n)|(?<=[.!?] )(?!\n)"), {}, {}
     for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
         units = [u for u in cut.split(text or "") if u]
         plain = [u.replace("\n", "").rstrip(" ") for u in units]
-        words = [p.count(" ") + 1 if p else 0 for p in plain]
+        spaced = not re.search(r"[\t\v\f\r]", text or "")
+        words = [(p.count(" ") + 1 if p else 0) if spaced else len(re.findall(r"[^\x20\x09-\x0D]+", p)) for p in plain]
         spans = set()
         for i in range(len(units)):
             for step in (1, -1):
@@ -29,7 +30,7 @@ def brute_lines(rows):
                     if not 0 <= j < len(units):
                         break
                     total += words[j]
-                    if total >= RULES.least_words or k + 1 == RULES.most_lines:
+                    if total >= RULES.least_words or k + 1 == RULES.most_lines <= total:
                         spans.add((min(i, j), max(i, j)))
                         break
         dead = set()
@@ -69,6 +70,15 @@ def test_repeated_passages_go(spark):
     assert got[6].text == "Same line.\n"
 
 
+def test_empty_lines_and_tabs(spark):
+    tabbed = "\t".join("t%d" % i for i in range(60))
+    rows = [(1, "\n" * 14), (2, "a\n" + "\n" * 30 + "b\n"), (3, "  \n" * 20), (4, "\n\n".join(["one two"] * 3)), (5, "\n\n".join(["one two"] * 3)),
+            (6, "own first line\n" + tabbed), (7, "own other line\n" + tabbed), (8, "\n\n" + sentences(5, 1)[0] + "\n\n\n")]
+    got = {r.doc_id: r.text for r in linedup.dedup_lines(docs(spark, rows)).collect()}
+    assert got == {i: t for (i, _), t in brute_lines(rows).items()}
+    assert {i: got[i] for i in got if i != 7} == {i: t for i, t in rows if i != 7} and got[7] == "own other line\n"
+
+
 def test_line_dedup_equals_brute_force(spark, small):
     rows = [(r.doc_id, r.text) for r in table(spark, small, "documents").collect()]
     want = brute_lines(rows)
@@ -206,7 +216,7 @@ def test_pipeline_equals_its_parts_in_plain_python(spark, small, pipeline_input)
     rows = [(r.doc_id, r.text) for r in pipeline_input.collect()]
     rows = [r for r in rows if 1 / (1 + np.exp(-(measure(r[1]) * model.slope + model.offset))) >= 0.3]
     rows = [(i, t) for (i, _), t in brute_lines(rows).items()]
-    prints = {i: brute_simhash(t, 5) for i, t in rows}
+    prints = {i: brute_simhash(t) for i, t in rows}
     find = roots([(a, b) for a in set(prints.values()) for b in set(prints.values()) if a < b and (a ^ b).bit_count() <= 3], set(prints.values()))
     first = {}
     for i in sorted(prints):
@@ -214,6 +224,8 @@ def test_pipeline_equals_its_parts_in_plain_python(spark, small, pipeline_input)
     kept = {i: t for i, t in rows if i in set(first.values())}
     with open(segmentation.MODEL, "rb") as f:
         memory = segmentation._Memory(segmentation.PieceLattice(f.read()), 4)
-    assert {r.doc_id for r in out} <= set(kept)
+    source = {r.doc_id: r.source for r in pipeline_input.collect()}
+    mixed = mixing.apply_mix(docs(spark, [(i, t, source[i]) for i, t in kept.items()]))
+    assert sorted(r.doc_id for r in out) == sorted(r.doc_id for r in mixed.collect())
     for r in out:
         assert r.ids == segmentation.encode_text(memory, kept[r.doc_id])[0]

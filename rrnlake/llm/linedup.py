@@ -174,7 +174,7 @@ def repeated_stretches(docs: DataFrame, rules: LineRules = LineRules()) -> DataF
     rows = rows.select("_id", "_x", start.alias("start"), (start + (F.col("s") % SPAN).cast("int") - 1).alias("end"), F.col("k").alias("_k"), F.col("l").alias("_l"))
     rows = staged(rows, "stretches")  # read twice
     first = rows.groupBy("_k", "_l").agg(F.min(F.struct("_id", "start", "_x")).alias("_f"), F.count("*").alias("_n")).filter("_n > 1")
-    first = broadcast_if_small(staged(first.drop("_n"), "firsts"))
+    first = staged(first.drop("_n"), "firsts").hint("merge")  # as many as repeats: shuffled at every size
     here = F.struct("_id", "start", "_x")
     return rows.join(first, ["_k", "_l"]).filter(here != F.col("_f")).select(
         "_id", "_x", "start", "end", F.col("_f._id").alias("first_id"), F.col("_f.start").alias("first_start"))

@@ -1,8 +1,9 @@
 """Cluster taxonomy: representative, lowest common ancestor, majority; taxid lineages.
 
 The consensus operators start from `cluster_lineages`, which folds all members
-of a cluster to its distinct lineages with counts. That is the one shuffle of
-member size; a cluster with a third of all members is folded on the map side.
+of a cluster to its distinct lineages with counts, as numbers; a cluster with a
+third of all members is folded on the map side. Its rows lie together by cluster,
+so that what follows moves no lineage text.
 """
 
 from __future__ import annotations
@@ -14,9 +15,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rrnlake.config import GTDB, RANK_NAMES, TaxonomySystem
 from rrnlake.functions.lineage import SEP, cut_below, split_ranks, strip_strain, unite_ranks
 from rrnlake.plans.durable import durable, written
+from rrnlake.plans.sizing import broadcast_if_small
 
 RANKS = [r.lower() for r in RANK_NAMES]
 UNKNOWN = "Unknown"
+_TIE_BITS = 20  # low bits that count the values of one number of members
 
 
 def lineage_ranks(lineage: DataFrame, system: TaxonomySystem = GTDB) -> DataFrame:
@@ -46,21 +49,31 @@ def tax_full(operons: DataFrame, lineage: DataFrame) -> DataFrame:
 def tax_rep(members: DataFrame, lineage: DataFrame) -> DataFrame:
     """Lineage of each cluster's centroid, without strain."""
     centroids = members.filter("is_centroid")
-    return centroids.join(lineage.select("assembly", "lineage"), "assembly", "left").select(
+    return centroids.join(broadcast_if_small(lineage.select("assembly", "lineage")), "assembly", "left").select(
         "cluster_id", "operon_id", strip_strain(F.col("lineage")).alias("lineage")
     )
 
 
-def cluster_lineages(members: DataFrame, lineage: DataFrame, system: TaxonomySystem = GTDB) -> DataFrame:
-    """Distinct member lineages per cluster with member counts (cluster_id, kingdom..species, n)."""
-    # Fold to assemblies first: the lineage join then sees each (cluster, assembly) once.
-    folded = members.groupBy("cluster_id", "assembly").agg(F.count("*").alias("n"))
+def cluster_lineages(
+    members: DataFrame, lineage: DataFrame, system: TaxonomySystem = GTDB, parts: int | None = None
+) -> DataFrame:
+    """Distinct member lineages per cluster with member counts (cluster_id, kingdom..species, n), in `parts` by cluster."""
     ranked = lineage_ranks(lineage, system).select("assembly", *RANKS)
-    return (
-        folded.join(ranked, "assembly", "left")
-        .groupBy("cluster_id", *RANKS)
-        .agg(F.sum("n").alias("n"))
-    )
+    # Numbers stand for the distinct lineages while members move; no number stands for no rank at all.
+    known = ranked.select(*RANKS).distinct().filter(F.coalesce(*RANKS).isNotNull())
+    numbered = written(known.withColumn("_lineage", F.monotonically_increasing_id()), "lineages")
+    same = reduce(Column.__and__, [F.col(f"l.{r}").eqNullSafe(F.col(f"r.{r}")) for r in RANKS])
+    coded = written(ranked.alias("l").join(numbered.alias("r"), same, "left").select("assembly", "_lineage"), "assembly-lineages")
+    small = broadcast_if_small(coded)
+    if small is coded:  # the join shuffles: each (cluster, assembly) once
+        ones = members.groupBy("cluster_id", "assembly").agg(F.count("*").alias("n"))
+    else:
+        ones = members.select("cluster_id", "assembly", F.lit(1).cast("bigint").alias("n"))
+    counted = ones.join(small, "assembly", "left").groupBy("cluster_id", "_lineage").agg(F.sum("n").alias("n"))
+    names = broadcast_if_small(numbered)
+    # A cluster has at most as many rows here as there are lineages.
+    placed = counted if names is numbered else counted.repartition(*([parts] if parts else []), "cluster_id")
+    return placed.join(names, "_lineage", "left").select("cluster_id", *RANKS, "n")
 
 
 def _agrees(rank: str) -> Column:
@@ -120,19 +133,19 @@ def conflicting_species(lineages: DataFrame, levels: DataFrame) -> DataFrame:
 def maj_levels(lineages: DataFrame) -> DataFrame:
     """Deepest rank number with a single most common value (0 = none).
 
-    All ranks go through one unpivot. The mode is unique when the smallest and
-    the largest of the most common values are the same one.
+    All ranks go through one unpivot. The mode is unique when one value only has
+    the highest count. A cluster of one lineage has one value at each rank.
     """
-    stacked = lineages.select(
-        "cluster_id", "n",
-        F.posexplode(F.array(*RANKS)).alias("pos", "value"),
-    )
-    counts = stacked.groupBy("cluster_id", "pos", "value").agg(F.sum("n").alias("n"))
-    modes = counts.groupBy("cluster_id", "pos").agg(
-        F.max(F.struct("n", "value")).alias("high"),
-        F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("low"),
-    )
-    unique = F.col("high.value").eqNullSafe(F.col("low.value"))
+    rows = lineages.withColumn("_rows", F.count("*").over(Window.partitionBy("cluster_id")))
+    ranks = F.when(F.col("_rows") > 1, F.array(*RANKS)).otherwise(F.array(RANKS[-1]))
+    deepest = F.when(F.col("_rows") > 1, 0).otherwise(len(RANKS) - 1)
+    stacked = rows.select("cluster_id", "n", deepest.alias("_from"), F.posexplode(ranks).alias("_pos", "value"))
+    counts = stacked.groupBy("cluster_id", (F.col("_from") + F.col("_pos")).alias("pos"), "value").agg(F.sum("n").alias("n"))
+    # Values by count, the highest count with its number of values in one long: no value is sorted.
+    ties = counts.groupBy("cluster_id", "pos", "n").agg(F.count("*").alias("k"))
+    high = F.max(F.shiftleft("n", _TIE_BITS) + F.least("k", F.lit((1 << _TIE_BITS) - 1)))
+    modes = ties.groupBy("cluster_id", "pos").agg(high.alias("high"))
+    unique = F.col("high").bitwiseAND((1 << _TIE_BITS) - 1) == 1
     return modes.groupBy("cluster_id").agg(
         F.coalesce(F.max(F.when(unique, F.col("pos") + 1)), F.lit(0)).alias("level")
     )
@@ -145,13 +158,13 @@ def tax_maj(
 
     Without a majority at any rank the cut is below the top rank.
     """
-    ranked = lineage_ranks(lineage, system)
-    text = unite_ranks([F.col(r) for r in RANKS])
+    texts = lineage_ranks(lineage, system).select("assembly", unite_ranks([F.col(r) for r in RANKS]).alias("_text"))
+    text = F.coalesce("_text", F.lit(SEP.join(["NA"] * len(RANKS))))
     level = F.greatest(F.col("level"), F.lit(1))
     return (
         members.filter("is_centroid")
-        .join(ranked.select("assembly", *RANKS), "assembly", "left")
         .join(levels, "cluster_id")
+        .join(broadcast_if_small(texts), "assembly", "left")
         .select("cluster_id", "operon_id", cut_below(text, level, system).alias("lineage"))
     )
 
@@ -177,12 +190,16 @@ def maj_rank_summary(levels: DataFrame) -> DataFrame:
 
 def tax_combined(rep: DataFrame, lca: DataFrame, maj: DataFrame) -> DataFrame:
     """The three schemes side by side per centroid."""
-    return (
-        rep.withColumnRenamed("lineage", "tax_rep")
-        .join(lca.withColumnRenamed("lineage", "tax_lca"), ["cluster_id", "operon_id"], "left")
-        .join(maj.select("operon_id", F.col("lineage").alias("tax_maj")), "operon_id", "left")
-        .select("cluster_id", "operon_id", "tax_rep", "lca_rank", "tax_lca", "tax_maj")
-    )
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        # One key, so that sides that lie by cluster stay where they are; a range of one value is no key of a join.
+        right = right.withColumnsRenamed({"cluster_id": "_c", "operon_id": "_o"})
+        same = (F.col("cluster_id") == F.col("_c")) & (F.col("operon_id") >= F.col("_o")) & (F.col("operon_id") <= F.col("_o"))
+        return left.join(right, same, "left").drop("_c", "_o")
+
+    return beside(
+        beside(rep.withColumnRenamed("lineage", "tax_rep"), lca.withColumnRenamed("lineage", "tax_lca")),
+        maj.withColumnRenamed("lineage", "tax_maj"),
+    ).select("cluster_id", "operon_id", "tax_rep", "lca_rank", "tax_lca", "tax_maj")
 
 
 def complete_subset(combined: DataFrame, complete_operons: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def _sites(seq: str, codes: np.ndarray | None, primer: str, allowed: int, table:
     room = len(codes) - len(primer) + 1
     if room < 1:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    wrong = np.zeros(room, np.int64)
+    wrong = np.zeros(room, np.int32)
     for j, bit in enumerate(_bits(primer, table)):
         wrong += (codes[j:j + room] & bit) == 0
     at = np.flatnonzero(wrong <= allowed)
@@ -73,8 +73,8 @@ def amplicons(
     """Array of amplicon places (1-based, closed, with primers) of every primer pair on both strands.
 
     A left site goes with right sites that begin behind it and, with max_len, end in reach. pick is `all` for each of
-    them, `nearest` for the first, `best` for the one with the fewest mismatches, the first of equals. Letter case does
-    not count.
+    them, `nearest` for the first; `best` is one place per pair and strand, that with the fewest mismatches, the leftmost
+    start and end of equals. Letter case does not count.
     """
     plans = []
     for pair, fwd, rev in primers:
@@ -119,6 +119,9 @@ def amplicons(
                     if pick == "best":
                         right = _least_in_reach(wrong_b, right, last[left])
                 ends, wrong = stops[right] + len(b[0]), wrong_a[left] + wrong_b[right]
+                if pick == "best" and len(wrong):
+                    one = [int(wrong.argmin())]  # starts grow, so the first of equals is the leftmost
+                    left, ends, wrong = left[one], ends[one], wrong[one]
                 rows += [(pair, strand, x + 1, y, len(a[0]), len(b[0]), w)
                          for x, y, w in zip(starts[left].tolist(), ends.tolist(), wrong.tolist())]
             out.append(rows)

@@ -267,3 +267,28 @@ def test_pieces_join_and_existing_pieces_win(spark):
         new = [r for r in rows if r not in old]
         got = cluster.cluster_incremental(*(spark.createDataFrame(x, df.schema) for x in (old, new)), 0.999)
         assert {r.seqid: r.centroid for r in got.members.collect()} == sequential(new, 0.999, old)
+
+
+def test_short_sequences_find_the_earliest_holder_where_its_bases_are(spark, monkeypatch):
+    """A word that all sequences hold must not move all of them to the pieces that begin with it."""
+    rng = random.Random(31)
+    common = "".join(rng.choice("ACGT") for _ in range(16))
+    rows = [(f"h{i:03d}", "".join(rng.choice("ACGT") for _ in range(200)) + common + "".join(rng.choice("ACGT") for _ in range(200 - i))) for i in range(60)]
+    rows += [(f"p{i:03d}", rows[i][1][200:200 + n]) for i, n in zip(range(0, 60, 3), range(17, 60, 2))]
+    rows += [("tiny", common[:5]), ("one", "A"), ("lost", common + common), ("none", "")]
+    monkeypatch.setattr(cluster, "FIRST_HOLDERS", (2, 7))
+    monkeypatch.setattr(cluster, "TILE", 50)
+    df = spark.createDataFrame(rows, "seqid string, seq string")
+    out = cluster.greedy_cluster(df, 1.0)
+    found = {r.seqid: r for r in out.members.collect()}
+    assert {k: r.centroid for k, r in found.items()} == sequential(rows, 1.0)
+    seqs = dict(rows)
+    assert all(seqs[r.centroid].find(seqs[k]) == r.offset for k, r in found.items())
+    reps = cluster._representatives(df.selectExpr("seqid", "seq", "sha2(seq, 256) AS digest", "1 AS priority"))
+    met = cluster._standing(cluster._looked_for(reps.filter("length < 64"), reps), reps)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not any("holder" not in line for line in moved)  # only pairs move, folded
+    want = {(p, h, b.find(a)) for p, a in seqs.items() if 0 < len(a) < 64 for h, b in seqs.items() if len(a) < len(b) and a in b}
+    names = {r.place: r.seqid for r in reps.collect()}
+    assert {(names[r.place], names[r.holder], r["at"]) for r in met.collect()} == want

@@ -3,6 +3,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from rrnlake.functions.sequence import IUPAC, reverse_complement_text
 from rrnlake.operators import kmers, primers
 
@@ -134,3 +136,41 @@ def test_sketch_pairs(spark):
                 want[(a, b)] = len(hashes[a] & hashes[b] & union)
     assert {k: r.shared for k, r in got.items()} == want and ("g1", "g2") in want and ("g1", "g5") in want
     assert 96 < got[("g1", "g2")].est_ani < 99
+
+
+def test_pairs_of_sketches_move_no_sketch(spark):
+    """Random sketches with common hashes against all pairs; the plan joins numbers, not arrays."""
+    rng = random.Random(13)
+    pool = [rng.getrandbits(60) for _ in range(400)]
+    rows = [(f"g{i:02d}", sorted(rng.sample(pool, rng.randrange(3, 41)) if i % 4 else pool[:20] + rng.sample(pool[20:], 20))) for i in range(60)]
+    df = spark.createDataFrame([(g, g, h) for g, h in rows], "genome string, representative string, hashes array<bigint>")
+    out = kmers.ani_pairs(df, size=40)
+    want = {}
+    for i, (a, x) in enumerate(rows):
+        for b, y in rows[i + 1:]:
+            union = sorted({*x, *y})[:40]
+            both = len({*x} & {*y} & {*union})
+            j = both / len(union)
+            if j and 100 * (1 + math.log(2 * j / (1 + j)) / 16) >= 80 - 1e-9:
+                want[a, b] = both
+    assert len(want) > 300 and {(r.a, r.b): r.shared for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashes" not in plan
+
+
+def test_sketches_of_words_that_repeat_are_full(spark):
+    """Below the bound are too few distinct hashes where a genome repeats itself."""
+    rng = random.Random(14)
+    part = "".join(rng.choice("ACGT") for _ in range(700))
+    rows = [("plain", "".join(rng.choice("ACGT") for _ in range(30000))), ("again", part * 60), ("short", part[:100]), ("none", "ACG")]
+    df = spark.createDataFrame(rows, "genome string, seq string")
+    for name, hashed in (("bigint", None), ("string", lambda w: F.substring(F.md5(w), 1, 16))):
+        more = {} if hashed is None else {"hash_fn": hashed}
+        got = {}
+        for r in kmers.sketches(df, size=300, **more).collect():
+            got.setdefault(r.genome, []).append(r.hash)
+        for g, s in rows:
+            words = {min(w, reverse_complement_text(w)) for w in (s[i:i + 16] for i in range(len(s) - 15))}
+            frame = spark.createDataFrame([(w,) for w in sorted(words)] or [("x",)], "w string")
+            every = sorted(r[0] for r in frame.select((hashed or F.xxhash64)(F.col("w"))).collect()) if words else []
+            assert sorted(got.get(g, [])) == every[:300], (name, g)

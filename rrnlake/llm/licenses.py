@@ -101,7 +101,8 @@ def template_blocks(docs: DataFrame, rules: LicenseRules) -> DataFrame:
     vocabulary = F.array(*[F.lit(t) for t in known])
     lines = docs.select("doc_id", F.posexplode(F.split(ascii_lower(F.coalesce("text", F.lit(""))), "\n")).alias("block", "_line"))
     tokens = F.array_intersect(F.split("_line", BREAK), vocabulary)
-    held = lines.select("doc_id", "block", "_line", tokens.alias("tokens")).filter(F.size("tokens") > 0)
+    # Unpacked from an array of one, so that the filter does not cut the line a second time.
+    held = lines.select("doc_id", "block", "_line", F.explode(F.array(tokens)).alias("tokens")).filter(F.size("tokens") > 0)
     told = F.when(F.size("tokens") >= fewest, _told(_spaced(F.split("_line", BREAK)), rules))
     return held.select("doc_id", "block", "tokens", told.alias("told"))
 
@@ -131,15 +132,30 @@ def scan_blocks(blocks: DataFrame, rules: LicenseRules = LicenseRules()) -> Data
     return found.select("doc_id", "block", "label", (F.size("_shared") / F.col("total")).alias("containment"), own.alias("told"))
 
 
-def wrapped_notices(docs: DataFrame, rules: LicenseRules = LicenseRules()) -> DataFrame:
+def _whole_texts(blocks: DataFrame, rules: LicenseRules) -> DataFrame:
+    """(doc_id, block, tokens, told): the template words of all lines of a doc_id; told: labels whose telling words are among them."""
+    # There are no more distinct tokens than the rules have words.
+    whole = blocks.select("doc_id", F.explode("tokens").alias("token")).groupBy("doc_id").agg(F.collect_set("token").alias("tokens"))
+    phrases = dict(rules.telling)
+
+    def among(label: str) -> Column:
+        parts = F.array(*[F.lit(w) for w in phrases.get(label, "").split()]).cast("array<string>")
+        return F.when(F.size(F.array_except(parts, F.col("tokens"))) == 0, label)
+
+    told = F.array_compact(F.array(*[among(label) for label in sorted({label for label, _ in rules.templates})]).cast("array<string>"))
+    return whole.select("doc_id", F.lit(0).alias("block"), "tokens", told.alias("told"))
+
+
+def wrapped_notices(docs: DataFrame, rules: LicenseRules = LicenseRules(), blocks: DataFrame | None = None) -> DataFrame:
     """(doc_id, block, label, containment) of templates whose words stand close together in a text of several lines; block is -1.
 
-    Texts that hold enough words of a template at all, and its telling phrase, are found by the same join; in those, each
-    window of a quarter more words than the template has is looked at, wherever lines end. The phrase must stand inside it.
+    Texts that hold enough words of a template at all, and those of its telling phrase, are found by the same join, on the
+    words of their lines (blocks: those of template_blocks, if they are there). Of texts with that phrase, each window of a
+    quarter more words than the template has is looked at, wherever lines end. The phrase must stand inside it.
     """
     several = docs.select("doc_id", "text").filter(F.contains("text", F.lit("\n")))
-    whole = several.select("doc_id", F.translate("text", "\n", " ").alias("text"))
-    met = scan_blocks(staged(template_blocks(whole, rules), "texts"), rules).filter("told").select("doc_id", "label").distinct()
+    blocks = staged(template_blocks(several, rules), "blocks") if blocks is None else blocks
+    met = scan_blocks(staged(_whole_texts(blocks, rules), "texts"), rules).filter("told").select("doc_id", "label").distinct()
     phrases = dict(rules.telling)
     bodies = docs.sparkSession.createDataFrame(
         [(label, body, phrases.get(label)) for label, body in rules.templates], "label string, body string, _phrase string")
@@ -148,7 +164,8 @@ def wrapped_notices(docs: DataFrame, rules: LicenseRules = LicenseRules()) -> Da
     pairs = met.join(F.broadcast(sized), "label").withColumnRenamed("doc_id", "_d")
     rows = several.join(pairs, several["doc_id"].eqNullSafe(F.col("_d"))).select(
         "doc_id", "label", "_phrase", "_t", "_size", _words(F.col("text")).alias("_w"))
-    rows = staged(rows.filter("size(_w) > 0"), "words")  # written, as the lambdas below would else cut the text again for each word
+    spoken = F.col("_phrase").isNull() | F.contains(_spaced(F.col("_w")), F.concat(F.lit(" "), "_phrase", F.lit(" ")))
+    rows = staged(rows.filter("size(_w) > 0").filter(spoken), "words")  # written, as the lambdas below would else cut the text again for each word
     needed = F.ceil(F.size("_t") * F.lit(rules.containment) - F.lit(1e-9))
 
     def window(i: Column) -> Column:
@@ -202,8 +219,9 @@ def scan_documents(docs: DataFrame, rules: LicenseRules = LicenseRules()) -> Dat
     Runs jobs.
     """
     base = phrase_places(docs, rules)
-    lines = scan_blocks(staged(template_blocks(docs, rules), "blocks"), rules).filter("told").drop("told")
-    found = lines.unionByName(wrapped_notices(docs, rules))
+    blocks = staged(template_blocks(docs, rules), "blocks")
+    lines = scan_blocks(blocks, rules).filter("told").drop("told")
+    found = lines.unionByName(wrapped_notices(docs, rules, blocks))
     extra = found.groupBy(F.col("doc_id").alias("_d")).agg(F.collect_set("label").alias("_more"), F.max("containment").alias("_best"))
     own = F.array_distinct(F.transform("places", lambda p: p["label"]))
     starts = F.transform("places", lambda p: p["at"])

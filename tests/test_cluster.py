@@ -1,11 +1,13 @@
 """Clustering against a sequential twin in plain Python."""
 
+import itertools
 import random
 
+import numpy as np
 import pytest
 
 from rrnlake.functions.alignment import infix_edits, member_script
-from rrnlake.functions.minimizers import anchor_span
+from rrnlake.functions.minimizers import anchor_span, rare_keys
 from rrnlake.operators import cluster
 
 
@@ -292,3 +294,58 @@ def test_short_sequences_find_the_earliest_holder_where_its_bases_are(spark, mon
     want = {(p, h, b.find(a)) for p, a in seqs.items() if 0 < len(a) < 64 for h, b in seqs.items() if len(a) < len(b) and a in b}
     names = {r.place: r.seqid for r in reps.collect()}
     assert {(names[r.place], names[r.holder], r["at"]) for r in met.collect()} == want
+
+
+def test_sequences_with_a_common_run_do_not_meet(spark):
+    """A run of short repeats that all hold must not pair all of them, above or below the length that allows an edit."""
+    rng = random.Random(41)
+
+    def text(n):
+        return "".join(rng.choice("ACGT") for _ in range(n))
+
+    rows = [(f"r{i:02d}", text(420 + i) + "CGAA" * 60 + text(420)) for i in range(30)]
+    rows += [(f"s{i:02d}", text(150 + i) + "CGAA" * 60 + text(150)) for i in range(30)]
+    rows += [("near", rows[3][1][:700] + "G" + rows[3][1][700:]), ("piece", rows[5][1][100:1000]), ("small", rows[31][1][40:190])]
+    df = spark.createDataFrame(rows, "seqid string, seq string")
+    reps = cluster._representatives(df.selectExpr("seqid", "seq", "sha2(seq, 256) AS digest", "1 AS priority"))
+    sketches = cluster._sketches(reps, 0.999)
+    probes, index = cluster._anchors(sketches)
+    names = {r.place: r.seqid for r in reps.collect()}
+    pairs = cluster._share_enough(cluster._meet(probes, index), sketches)
+    met = {frozenset((names[r.place], names[r.centroid_place])) for r in pairs.collect()}
+    assert met == {frozenset(p) for p in (("near", "r03"), ("piece", "r05"), ("small", "s01"))}
+    assert {r.seqid: r.centroid for r in cluster.greedy_cluster(df, 0.999).members.collect()} == sequential(rows, 0.999)
+
+
+def test_rare_keys_outlast_all_edits():
+    rng = random.Random(42)
+    for _ in range(300):
+        starts = np.array(sorted(rng.sample(range(60), rng.randrange(1, 9))))
+        counts = np.array([rng.randrange(1, 5) for _ in starts])
+        span, edits = rng.randrange(1, 20), rng.randrange(3)
+        chosen = rare_keys(starts, counts, span, edits)
+        hits = [{int(s) for s in starts if s <= at < s + span} for at in range(80)]
+        ways = [set().union(*way) for way in itertools.combinations(hits, edits)]
+        if any(way >= {int(s) for s in starts} for way in ways):
+            assert len(chosen) == len(starts)
+        else:
+            assert len(chosen) == edits + 1 and not any(way >= {int(s) for s in starts[chosen]} for way in ways)
+            fewer = starts[counts < counts[chosen].max()]
+            assert any(way >= {int(s) for s in fewer} for way in ways)
+
+
+@pytest.mark.parametrize("identity", [0.99, 0.999, 1.0])
+def test_classes_of_long_sequences_equal_the_scan(spark, identity):
+    """Pieces and near copies over all classes, which look for each other's words."""
+    rng = random.Random(43)
+    rows = []
+    for f in range(6):
+        root = "".join(rng.choice("ACGT") for _ in range(rng.randrange(900, 2600)))
+        rows.append(root)
+        for _ in range(8):
+            cut = rng.randrange(0, len(root) - 80)
+            rows.append(mutate(rng, root[cut:cut + rng.choice([70, 200, 256, 300, 512, 700, 2600])], rng.choice([0, 0, 1, 2, 3, 9])))
+    rows = [(f"s{i:03d}", s) for i, s in enumerate(rows)]
+    df = spark.createDataFrame(rows, "seqid string, seq string")
+    found = cluster.greedy_cluster(df, identity).members.collect()
+    assert {r.seqid: r.centroid for r in found} == sequential(rows, identity)

@@ -34,6 +34,32 @@ CHUNK_BYTES, OPTION_BYTES = 220, 200  # about what one remembered chunk, or one
 ENCODED = "doc_id bigint, ids array<int>, nbest array<struct<score: double, edits: array<struct<start: int, length: int, ids: array<int>>>>>"
 
 
+def _plain(own: sentencepiece.SentencePieceProcessor) -> list[int]:
+    """Ids of the pieces that stand for characters."""
+    return [i for i in range(own.get_piece_size()) if not (own.is_control(i) or own.is_unknown(i) or own.is_byte(i) or own.is_unused(i))]
+
+
+class PieceSurface:
+    """Bytes of the pieces of a SentencePiece model (bytes of the model file), which decoding needs, without the lattice."""
+
+    def __init__(self, model: bytes):
+        own = sentencepiece.SentencePieceProcessor(model_proto=model)
+        surface = [b""] * own.get_piece_size()
+        for i in _plain(own):
+            surface[i] = own.id_to_piece(i).replace(SPACE, " ").encode()
+        byte_ids = [own.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        if all(own.is_byte(i) for i in byte_ids):
+            for b, i in enumerate(byte_ids):
+                surface[i] = bytes([b])
+        surface[own.unk_id()] = " ⁇ ".encode()
+        self.surface = np.array(surface, dtype=object)
+
+    def decode(self, ids: np.ndarray) -> str:
+        """Text of a list of ids, without the leading space that encoding adds. A text's own U+2581 comes back as space."""
+        data = b"".join(self.surface[ids].tolist())
+        return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
+
+
 class PieceLattice:
     """Vocabulary and scores of a SentencePiece model (bytes of the model file).
 
@@ -46,9 +72,7 @@ class PieceLattice:
         probe = "A é  ﬁ\n"
         if own.normalize(probe) != SPACE + probe.replace(" ", SPACE):
             raise ValueError("the model's normaliser isn't the identity with a leading space")
-        n = own.get_piece_size()
-        plain = [i for i in range(n) if not (own.is_control(i) or own.is_unknown(i) or own.is_byte(i) or own.is_unused(i))]
-        self.pieces = {own.id_to_piece(i): (own.get_score(i), i) for i in plain}
+        self.pieces = {own.id_to_piece(i): (own.get_score(i), i) for i in _plain(own)}
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece goes over the start of a white space run")
         # A tree of characters; a node is [lookup of the nodes by next character, score or None, id].
@@ -71,14 +95,6 @@ class PieceLattice:
         self.unknown_score = min((s for s, _ in self.pieces.values()), default=0.0) - 10
         self.byte_ids = [own.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.has_bytes = all(own.is_byte(i) for i in self.byte_ids)
-        surface = [b""] * n
-        for p, (_, i) in self.pieces.items():
-            surface[i] = p.replace(SPACE, " ").encode()
-        if self.has_bytes:
-            for b, i in enumerate(self.byte_ids):
-                surface[i] = bytes([b])
-        surface[self.unknown_id] = " ⁇ ".encode()
-        self.surface = np.array(surface, dtype=object)
 
     def forward(self, chunk: str) -> tuple[list[float], list[list[tuple[int, float, int]]]]:
         """Best score up to each position, and the pieces (start, score, id) that end there; id -1 is unknown."""
@@ -183,11 +199,6 @@ class PieceLattice:
         marked = SPACE + text.replace(" ", SPACE)
         return CHUNK.findall(marked)
 
-    def decode(self, ids: np.ndarray) -> str:
-        """Text of a list of ids, without the leading space that encoding adds. A text's own U+2581 comes back as space."""
-        data = b"".join(self.surface[ids].tolist())
-        return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
-
 
 class _Memory:
     """Best segmentations of the chunks met so far. When they take too many bytes, the quarter that most texts use stays.
@@ -282,6 +293,11 @@ def _memory(model: bytes, n: int) -> _Memory:
     return keep.memory
 
 
+def _forget() -> None:
+    """Free what the worker remembers of encoding: only room is lost while it decodes, and later encoding starts anew."""
+    sys.modules.pop("rrnlake_segmentation_memory", None)
+
+
 def _encoded(memory: _Memory, text: str | None) -> tuple[np.ndarray, list[tuple[float, list]]]:
     """(ids of the best segmentation, [(score, edits)] of up to n segmentations, best first).
 
@@ -359,9 +375,12 @@ def decode_ids(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
         model = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = PieceLattice(model)
+        _forget()
+        surface = PieceSurface(model)
         for batch in batches:
-            texts = [lattice.decode(i.values.to_numpy()) if i.is_valid else None for i in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+            for first in range(0, batch.num_rows, 200):
+                part = batch.slice(first, 200)
+                texts = [surface.decode(i.values.to_numpy()) if i.is_valid else None for i in part.column("ids")]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")

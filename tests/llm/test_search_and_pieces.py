@@ -1,5 +1,6 @@
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -230,3 +231,20 @@ def test_texts_come_back(spark):
     assert segmentation.encode_nbest(docs(spark, [])).count() == 0
     nothing = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert segmentation.decode_ids(nothing).first().text is None
+
+
+def test_decoding_holds_no_lattice():
+    """Workers that encoded before decode without their lattice and what they remember, which took an executor over its memory."""
+    with open(segmentation.MODEL, "rb") as f:
+        model = f.read()
+    text = "Hello wörld  \n x 日本 \U0001F600 end"
+    memory = segmentation._memory(model, 3)
+    ids, _ = segmentation.encode_text(memory, text)
+    assert segmentation._memory(model, 3) is memory
+    segmentation._forget()
+    assert segmentation._memory(model, 3) is not memory
+    tracemalloc.start()
+    surface = segmentation.PieceSurface(model)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 5 << 20 and surface.decode(np.array(ids, np.int32)) == text

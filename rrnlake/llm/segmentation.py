@@ -4,7 +4,7 @@ The pieces of the vocabulary that match a text form a lattice. A forward Viterbi
 position; these scores are the exact rest cost of an A* search that runs backward from the end, so complete paths leave
 its agenda in order of their score (Nagata 1994). No piece goes over the start of a white space run, so a text is a chain
 of chunks, and its N best segmentations differ from the best only in chunks whose second-best path loses least: the search
-runs in those, and its results are combined.
+runs in those, and its results are combined. The forward pass goes over many chunks at a time, a position after the other.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ import heapq
 import sys
 import types
 from array import array
+from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -28,8 +30,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 KEEP_LENGTH, KEEP_BYTES = 64, 64 << 20  # of chunks whose segmentations a Python worker remembers
+PART_BYTES, PART_ROWS = 2 << 20, 2000  # of texts encoded together; a longer text is alone
+TOGETHER = 8192  # chunks in one forward pass
 CHUNK_BYTES, OPTION_BYTES = 220, 200  # about what one remembered chunk, or one alternative of it, takes beside its signs and ids
 ENCODED = "doc_id bigint, ids array<int>, nbest array<struct<score: double, edits: array<struct<start: int, length: int, ids: array<int>>>>>"
 
@@ -60,6 +63,82 @@ class PieceSurface:
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
+class _EdgeTable:
+    """The tree of the pieces' characters as arrays: a node is a slot, the root slot 0.
+
+    Its child by a character's code is slot base[node] + code if owner[] of that slot is the node. Code 0 has no child; a
+    space has the code of U+2581. piece[] is the number of the piece that ends at a node, in scores and ids, or -1.
+    """
+
+    def __init__(self, pieces: dict[str, tuple[float, int]]):
+        counts = Counter(c for p in pieces for c in p)
+        codes = {c: k for k, (c, _) in enumerate(counts.most_common(), 1)}
+        self.codes = np.zeros(sys.maxunicode + 1, np.int32)
+        self.codes[[ord(c) for c in codes]] = list(codes.values())
+        self.codes[ord(" ")] = self.codes[ord(SPACE)]
+        children: dict[str, list[str]] = {}  # of prefixes that more characters follow
+        for prefix in {p[:k] for p in pieces for k in range(1, len(p) + 1)}:
+            children.setdefault(prefix[:-1], []).append(prefix)
+        # Nodes with most children first, at the next base where the slots of all their children are free.
+        edges = sum(map(len, children.values()))
+        free = np.ones(2 * (edges + len(codes) + 1), bool)
+        free[0] = False
+        bases, at, before = {}, 1, 0
+        branching = [x for x in children if len(children[x]) > 1]
+        for prefix in sorted(branching, key=lambda x: (-len(children[x]), x)):
+            wanted = np.sort([codes[x[-1]] for x in children[prefix]])
+            if len(wanted) != before:  # start anew
+                at, before = int(free.argmax()), len(wanted)
+            width = 256
+            while prefix not in bases:
+                if at + width + len(codes) >= len(free):
+                    free = np.concatenate([free, np.ones(width + len(free), bool)])
+                fits = np.flatnonzero(free[at : at + width]) + at - wanted[0]
+                fits = fits[fits >= 0]
+                for code in wanted[1:]:
+                    fits = fits[free[fits + code]]
+                if fits.size:
+                    bases[prefix] = int(fits[0])
+                    free[fits[0] + wanted] = False
+                else:
+                    at, width = at + width, 2 * width
+        single = [x for x in children if len(children[x]) == 1]
+        left = np.flatnonzero(free[len(codes) :])[: len(single)] + len(codes)
+        left = np.append(left, np.arange(len(single) - len(left)) + len(free))
+        bases |= {x: at - codes[children[x][0][-1]] for x, at in zip(single, left.tolist())}
+        slots = {x: bases[prefix] + codes[x[-1]] for prefix, xs in children.items() for x in xs}
+        slots[""] = 0
+        size = max(slots.values()) + len(codes) + 2
+        self.base, self.owner, self.piece = np.zeros(size, np.int64), np.full(size, -1), np.full(size, -1)
+        for prefix, xs in children.items():
+            self.base[slots[prefix]] = bases[prefix]
+            self.owner[[slots[x] for x in xs]] = slots[prefix]
+        # Leaves have no child: from the last base no slot is owned.
+        leaves = [at for x, at in slots.items() if x not in children]
+        self.base[leaves] = size - len(codes) - 1
+        self.piece[[slots[p] for p in pieces]] = np.arange(len(pieces))
+        self.scores = np.array([score for score, _ in pieces.values()], float)
+        self.ids = np.array([i for _, i in pieces.values()] + [-1], np.int32)
+
+    def matches(self, codes: np.ndarray, ahead: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of pieces of 1, 2, 3 characters and so on: places where one begins, where it ends, its number.
+
+        The character after that at place k is at place k + ahead[k].
+        """
+        start = at = np.arange(len(codes))
+        node, found = np.zeros(len(codes), np.int64), []
+        while True:
+            below = self.base[node]
+            below += codes[at]
+            live = np.flatnonzero(self.owner[below] == node)
+            if not live.size:
+                return found
+            start, node, at = start[live], below[live], at[live]
+            at += ahead[at]
+            ends = np.flatnonzero(self.piece[node] >= 0)
+            found.append((start[ends], at[ends], self.piece[node[ends]]))
+
+
 class PieceLattice:
     """Vocabulary and scores of a SentencePiece model (bytes of the model file).
 
@@ -90,6 +169,7 @@ class PieceLattice:
         for node in every:
             node[0] = node[0].get
         self.tree = grown.get
+        self.table = _EdgeTable(self.pieces)
         self.longest = max(map(len, self.pieces), default=0)
         self.unknown_id = own.unk_id()
         self.unknown_score = min((s for s, _ in self.pieces.values()), default=0.0) - 10
@@ -98,16 +178,21 @@ class PieceLattice:
 
     def forward(self, chunk: str) -> tuple[list[float], list[list[tuple[int, float, int]]]]:
         """Best score up to each position, and the pieces (start, score, id) that end there; id -1 is unknown."""
-        n, pieces = len(chunk), self.pieces
+        n, longest = len(chunk), self.longest
         best, ends = [0.0] + [-np.inf] * n, [[] for _ in range(n + 1)]
         for s in range(n):
-            for e in range(s + 1, min(n, s + self.longest) + 1):
-                found = pieces.get(chunk[s:e])
-                if found is None and e == s + 1:
-                    found = (self.unknown_score, -1)
-                if found is not None:
-                    ends[e].append((s, *found))
-                    best[e] = max(best[e], best[s] + found[0])
+            follow, e = self.tree, s
+            for c in chunk[s : s + max(longest, 1)]:
+                e += 1
+                node = follow(c)
+                follow, score, piece = node or (None, None, -1)
+                if score is None and e == s + 1:
+                    score, piece = self.unknown_score, -1
+                if score is not None:
+                    ends[e].append((s, score, piece))
+                    best[e] = max(best[e], best[s] + score)
+                if node is None:
+                    break
         return best, ends
 
     def _ids(self, chunk: str, path: list[tuple[int, int, int]]) -> tuple[int, ...]:
@@ -193,15 +278,114 @@ class PieceLattice:
                 heapq.heappush(agenda, (loss + best[at] - best[start] - score, start, count, ((start, at, piece), path)))
         return out
 
-    def chunks(self, text: str) -> list[str]:
-        if not text:
-            return []
-        marked = SPACE + text.replace(" ", SPACE)
-        return CHUNK.findall(marked)
+    def _unknown(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids that stand for unknown characters, a row each, and their numbers."""
+        distinct, which = np.unique(marks, return_inverse=True)
+        ids = [self._ids(chr(c), [(0, 1, -1)]) for c in distinct.tolist()]
+        widths = np.array([len(x) for x in ids], np.int64)
+        rows = np.zeros((len(ids), max(widths, default=0)), np.int32)
+        for k, x in enumerate(ids):
+            rows[k, : len(x)] = x
+        return rows[which], widths[which]
+
+    def bests(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """best() of many chunks, none empty: scores, ids one chunk after the other, numbers of ids, gaps.
+
+        Chunks stand side by side, the longest first; a column holds the same position of all that reach it. Columns lie
+        one after the other, so a place is a position of a chunk and columns[p] + k the place of chunk k at position p.
+        """
+        table, count = self.table, len(chunks)
+        lengths = np.fromiter(map(len, chunks), np.int64, count)
+        order = np.argsort(-lengths, kind="stable")
+        lengths = lengths[order]
+        reach = np.searchsorted(-lengths, -np.arange(lengths[0] + 1), "right")  # chunks that have the position, or end there
+        columns = np.concatenate([[0], np.cumsum(reach)])
+        signs = np.frombuffer("".join([chunks[k] for k in order.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        owner = np.repeat(np.arange(count), lengths)
+        position = np.arange(len(signs)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        places = columns[-1]
+        marks, codes = np.zeros(places, np.uint32), np.zeros(places, np.int32)  # characters and their codes, 0 at the ends
+        stand = columns[position] + owner
+        marks[stand], codes[stand] = signs, table.codes[signs]
+        found = table.matches(codes, np.repeat(reach, reach))
+        best, second = np.full(places, -np.inf), np.full(places, -np.inf)
+        best[:count] = 0.0
+        back, piece = np.zeros(places, np.int64), np.full(places, -1)
+        # Single characters: every position but the last has one, of a piece or unknown.
+        single, number = np.full(places, self.unknown_score), np.full(places, -1)
+        for begin, _, which in found[:1]:
+            single[begin], number[begin] = table.scores[which], which
+        longer = [(begin, end, table.scores[which], which, np.searchsorted(begin, columns).tolist()) for begin, end, which in found[1:]]
+        for p in range(lengths[0]):
+            here, last = columns[p], columns[p] + reach[p + 1]
+            a, b = columns[p + 1], columns[p + 1] + reach[p + 1]
+            value, known = best[here:last] + single[here:last], best[a:b]
+            up = np.flatnonzero(value > known)
+            second[a:b] = np.maximum(second[a:b], np.minimum(known, value))
+            best[a:b] = np.maximum(known, value)
+            back[a + up], piece[a + up] = here + up, number[here + up]
+            for begin, end, score, which, bounds in longer:
+                lo, hi = bounds[p], bounds[p + 1]
+                if lo == hi:
+                    continue
+                s, e = begin[lo:hi], end[lo:hi]
+                value, known = best[s] + score[lo:hi], best[e]
+                up = np.flatnonzero(value > known)
+                second[e] = np.maximum(second[e], np.minimum(known, value))
+                best[e] = np.maximum(known, value)
+                back[e[up]], piece[e[up]] = s[up], which[lo:hi][up]
+        # From the ends back; ids of all steps are placed when their number is known.
+        last = columns[lengths] + np.arange(count)
+        lost = best - second
+        gaps, at, who = np.full(count, np.inf), last, np.arange(count)
+        steps, sizes = [], np.zeros(count, np.int64)
+        while who.size:
+            gaps[who] = np.minimum(gaps[who], lost[at])
+            which, at = piece[at], back[at]
+            strange = np.flatnonzero(which < 0)
+            instead, widths = self._unknown(marks[at[strange]])
+            steps.append((who, which, who[strange], instead, widths))
+            sizes[who] += 1
+            sizes[who[strange]] += widths - 1
+            more = np.flatnonzero(at >= count)
+            at, who = at[more], who[more]
+        # Back to the order of the caller.
+        turned = np.empty(count, np.int64)
+        turned[order] = np.arange(count)
+        stops = np.cumsum(sizes[turned])[order]
+        flat = np.empty(int(sizes.sum()), np.int32)
+        for who, which, strange, instead, widths in steps:
+            stops[who] -= 1
+            stops[strange] -= widths - 1
+            flat[stops[who]] = table.ids[which]
+            for k in range(instead.shape[1]):
+                wide = np.flatnonzero(widths > k)
+                flat[stops[strange[wide]] + k] = instead[wide, k]
+        return best[last][turned], flat, sizes[turned], gaps[turned]
+
+
+def _chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct chunks, which of them stand in the texts, where each text begins among those). Spaces stand for U+2581 here."""
+    texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), SPACE, " ")
+    lead = pc.if_else(pc.equal(texts, ""), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
+    texts = pc.binary_join_element_wise(lead, texts, pa.scalar("", pa.large_string()))
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if bounds[-1] == bounds[0]:
+        return [], np.empty(0, np.int32), np.zeros(len(bounds), np.int64)
+    signs = np.frombuffer(texts.buffers()[2], np.uint8)[: bounds[-1]]
+    space = signs == ord(" ")
+    first = space.copy()
+    first[1:] &= ~space[:-1]
+    first[bounds[:-1][bounds[1:] > bounds[:-1]]] = True
+    first[: bounds[0]] = False
+    starts = np.flatnonzero(first)
+    offsets = np.append(starts, bounds[-1])
+    coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), texts.buffers()[2]).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(starts, bounds)
 
 
 class _Memory:
-    """Best segmentations of the chunks met so far. When they take too many bytes, the quarter that most texts use stays.
+    """Best segmentations of the chunks met so far. When they take too many bytes, the quarter that is used most stays.
 
     Ids of all chunks lie one after the other in one array; chunk k has flat[starts[k] : starts[k + 1]].
     """
@@ -219,66 +403,78 @@ class _Memory:
         self.long: list[int] = []
         self.held = 0
 
-    def _add(self, chunk: str, score: float, ids, gap: float, uses: int) -> int:
-        at = len(self.texts)
-        self.scores.append(score)
-        self.gaps.append(gap)
-        self.uses.append(uses)
-        self.flat.extend(ids)
-        self.starts.append(len(self.flat))
-        self.texts.append(chunk)
-        self.places[chunk] = at
-        self.held += CHUNK_BYTES + 2 * len(chunk) + 4 * len(ids)
-        return at
-
-    def place(self, chunk: str) -> int:
-        at = self.places.get(chunk)
-        if at is None:
-            score, ids, gap = self.lattice.best(chunk)
-            at = self._add(chunk, score, ids, gap, 0)
-            if len(chunk) > KEEP_LENGTH:
-                self.long.append(at)
-        return at
+    def _add(self, chunks: list[str], scores: np.ndarray, ids: np.ndarray, sizes: np.ndarray, gaps: np.ndarray, uses: np.ndarray) -> None:
+        at, end = len(self.texts), len(self.flat)
+        for kept, new in ((self.scores, scores), (self.gaps, gaps), (self.uses, uses), (self.flat, ids), (self.starts, end + np.cumsum(sizes))):
+            kept.frombytes(np.ascontiguousarray(new, kept.typecode).tobytes())
+        self.texts += chunks
+        self.places.update(zip(chunks, range(at, at + len(chunks))))
+        self.held += CHUNK_BYTES * len(chunks) + 2 * sum(map(len, chunks)) + 4 * len(ids)
+
+    def find(self, chunks: list[str]) -> np.ndarray:
+        """Places of distinct chunks; those not met before are segmented."""
+        found = list(map(self.places.get, chunks))
+        new = [k for k, at in enumerate(found) if at is None]
+        short = [chunks[k] for k in new if len(chunks[k]) <= KEEP_LENGTH]
+        for first in range(0, len(short), TOGETHER):
+            part = short[first : first + TOGETHER]
+            self._add(part, *self.lattice.bests(part), np.zeros(len(part)))
+        for k in new:
+            if len(chunks[k]) > KEEP_LENGTH:
+                score, ids, gap = self.lattice.best(chunks[k].replace(" ", SPACE))
+                self.long.append(len(self.texts))
+                self._add([chunks[k]], np.array([score]), np.array(ids), np.array([len(ids)]), np.array([gap]), np.zeros(1))
+        for k in new:
+            found[k] = self.places[chunks[k]]
+        return np.array(found, np.int64)
 
     def own(self, at: int) -> tuple[int, ...]:
         return tuple(self.flat[self.starts[at] : self.starts[at + 1]])
 
     def alternatives(self, at: int) -> list[tuple[float, tuple[int, ...]]]:
         if at not in self.lists:
-            found = self.lattice.nbest(self.texts[at], self.n)
+            found = self.lattice.nbest(self.texts[at].replace(" ", SPACE), self.n)
             # The best path comes first in either pass; equal scores are told apart by its ids.
             own = self.own(at)
             self.lists[at] = [(0.0, own)] + [x for x in found if x[1] != own][: self.n - 1]
             self.held += sum(OPTION_BYTES + 8 * len(ids) for _, ids in self.lists[at])
         return self.lists[at]
 
-    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
-        """ids, where each chunk begins in them, sum of scores, gaps; counts the text as one use of its chunks."""
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of chunks one after the other, and where each chunk begins in them, and the end."""
         starts, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat, np.int32)
         first = starts[places]
         sizes = starts[places + 1] - first
-        begins = np.cumsum(sizes) - sizes
-        ids = flat[np.repeat(first - begins, sizes) + np.arange(int(sizes.sum()))]
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        where = np.repeat(first - begins[:-1], sizes)
+        where += np.arange(len(where))
+        return flat[where] if len(where) else np.empty(0, np.int32), begins
+
+    def worth(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and gaps of chunks."""
+        return np.frombuffer(self.scores)[places], np.frombuffer(self.gaps)[places]
+
+    def used(self, places: np.ndarray, times: np.ndarray) -> None:
         uses = np.frombuffer(self.uses, np.int32)
-        uses[places] += 1
-        return ids, begins, float(np.frombuffer(self.scores)[places].sum()), np.frombuffer(self.gaps)[places]
+        uses[places] = np.minimum(uses[places] + times, 1 << 30)
 
     def trim(self) -> None:
-        """Between texts: forget what is not worth its room."""
+        """Between parts: forget what is not worth its room."""
         if self.held <= self.limit and len(self.long) <= 1000:
             return
         uses = np.array(self.uses)
         uses[self.long] = 0  # long chunks hardly come again
         most = np.flatnonzero(uses > 0)
         most = most[np.argsort(-uses[most], kind="stable")]
-        old = self.texts, self.scores, self.gaps
         room = self.limit if self.held <= self.limit else self.limit // 4
-        kept = [(old[0][k], old[1][k], self.own(k), old[2][k], int(uses[k]) // 2) for k in most[: room // CHUNK_BYTES].tolist()]
+        lengths = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
+        bytes_of = CHUNK_BYTES + 2 * lengths[most] + 4 * np.diff(np.frombuffer(self.starts, np.int64))[most]
+        most = most[np.cumsum(bytes_of) <= room]
+        ids, begins = self.ids(most)
+        kept = [self.texts[k] for k in most.tolist()], *self.worth(most), ids, np.diff(begins), uses[most] // 2
         self._clear()
-        for one in kept:
-            if self.held > room:
-                break
-            self._add(*one)
+        chunks, scores, gaps, ids, sizes, uses = kept
+        self._add(chunks, scores, ids, sizes, gaps, uses)
 
 
 def _memory(model: bytes, n: int) -> _Memory:
@@ -298,45 +494,59 @@ def _forget() -> None:
     sys.modules.pop("rrnlake_segmentation_memory", None)
 
 
-def _encoded(memory: _Memory, text: str | None) -> tuple[np.ndarray, list[tuple[float, list]]]:
-    """(ids of the best segmentation, [(score, edits)] of up to n segmentations, best first).
+def _encoded(memory: _Memory, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[tuple[float, list]]]]:
+    """ids of the best segmentations of texts, where each text begins in them and the end, and for each text a list of
+    (score, edits) of up to n segmentations, best first.
 
     An edit (start, length, ids) replaces ids of the best segmentation. Null and empty texts have no ids and one
     segmentation of score 0.
     """
     memory.trim()
-    get, place = memory.places.get, memory.place
-    places = []
-    for chunk in memory.lattice.chunks(text or ""):
-        at = get(chunk)
-        places.append(place(chunk) if at is None else at)
-    if not places:
-        return np.empty(0, np.int32), [(0.0, [])]
-    ids, begins, total, gaps = memory.gather(np.array(places))
+    distinct, which, firsts = _chunks(texts)
+    if not distinct:
+        return np.empty(0, np.int32), np.zeros(len(firsts), np.int64), [[(0.0, [])] for _ in range(len(texts))]
+    known = memory.find(distinct)
+    memory.used(known, np.bincount(which, minlength=len(distinct)))
+    places = known[which]
+    ids, begins = memory.ids(places)
+    scores, gaps = memory.worth(places)
+    lists = [_lists(memory, places[a:b], begins[a : b + 1], scores[a:b], gaps[a:b]) if a < b else [(0.0, [])] for a, b in pairwise(firsts.tolist())]
+    return ids, begins[firsts], lists
+
+
+def _lists(memory: _Memory, places: np.ndarray, begins: np.ndarray, scores: np.ndarray, gaps: np.ndarray) -> list[tuple[float, list]]:
+    """[(score, edits)] of a text of chunks."""
     want = memory.n - 1
     if len(gaps) > 4 * want:  # the least gaps, and all that equal the last of them
         near = np.flatnonzero(gaps <= np.partition(gaps, max(want - 1, 0))[max(want - 1, 0)])
         chosen = near[np.argsort(gaps[near], kind="stable")[:want]]
     else:
         chosen = np.argsort(gaps, kind="stable")[:want]
-    chosen = sorted(int(c) for c in chosen if np.isfinite(gaps[c]))
+    total, chosen = float(scores.sum()), sorted(int(c) for c in chosen if np.isfinite(gaps[c]))
     sums = [(0.0, ())]
+    options = {c: memory.alternatives(int(places[c])) for c in chosen}
     for c in chosen:
-        options = memory.alternatives(places[c])
-        grown = [(loss + more, picks + ((c, k),) if k else picks) for loss, picks in sums for k, (more, _) in enumerate(options)]
+        grown = [(loss + more, picks + ((c, k),) if k else picks) for loss, picks in sums for k, (more, _) in enumerate(options[c])]
         grown.sort()
         sums = grown[: memory.n]
-    found = []
-    for loss, picks in sums:
-        edits = [(int(begins[c]), len(memory.own(places[c])), list(memory.alternatives(places[c])[k][1])) for c, k in picks]
-        found.append((total - loss, edits))
-    return ids, found
+    return [(total - loss, [(int(begins[c] - begins[0]), int(begins[c + 1] - begins[c]), list(options[c][k][1])) for c, k in picks]) for loss, picks in sums]
 
 
 def encode_text(memory: _Memory, text: str | None) -> tuple[list[int], list[tuple[float, list]]]:
-    """As _encoded, with ids as a list."""
-    ids, found = _encoded(memory, text)
-    return ids.tolist(), found
+    """As _encoded, of one text."""
+    ids, _, lists = _encoded(memory, pa.array([text], pa.string()))
+    return ids.tolist(), lists[0]
+
+
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of texts to encode together, by their bytes."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        past = int(np.searchsorted(upto, (upto[first - 1] if first else 0) + PART_BYTES, "right"))
+        end = min(max(past, first + 1), first + PART_ROWS)
+        yield first, end - first
+        first = end
 
 
 def encode_nbest(docs: DataFrame, n: int = 4, model_path: str = MODEL) -> DataFrame:
@@ -353,17 +563,12 @@ def encode_nbest(docs: DataFrame, n: int = 4, model_path: str = MODEL) -> DataFr
         edit = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))])
         kind = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
         for batch in batches:
-            for first in range(0, batch.num_rows, 200):
-                part = batch.slice(first, 200)
-                ids, ends, lists = [], [0], []
-                for text in part.column("text"):
-                    own, found = _encoded(memory, text.as_py())
-                    ids.append(own)
-                    ends.append(ends[-1] + len(own))
-                    lists.append([{"score": s, "edits": [{"start": a, "length": k, "ids": i} for a, k, i in e]} for s, e in found])
-                values = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))
+            for first, rows in _parts(batch.column("text")):
+                part = batch.slice(first, rows)
+                ids, ends, found = _encoded(memory, part.column("text"))
+                lists = [[{"score": s, "edits": [{"start": a, "length": k, "ids": i} for a, k, i in e]} for s, e in one] for one in found]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(lists, kind)],
+                    [part.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), pa.array(lists, kind)],
                     ["doc_id", "ids", "nbest"])
 
     return docs.select("doc_id", "text").mapInArrow(run, ENCODED)

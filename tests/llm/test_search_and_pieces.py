@@ -3,6 +3,7 @@ import re
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,3 +249,36 @@ def test_decoding_holds_no_lattice():
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert held < 5 << 20 and surface.decode(np.array(ids, np.int32)) == text
+
+
+def test_short_chunks_are_searched_together(model, monkeypatch):
+    """A search chunk by chunk took encoding over its CPU budget; all results are those of that search."""
+    made = np.random.default_rng(3)
+    signs = list("abcdeth  \n▁é漢😀ß\x00\tの")
+    texts = ["".join(made.choice(signs, made.integers(0, 50))) for _ in range(400)] + [None, "", " ", "  ", "▁", "▁ ▁x", " a", "a ", "ab" * 20 + " end"]
+    lattice = segmentation.PieceLattice(model)
+    want = []
+    for text in texts:
+        marked = "▁" + text.replace(" ", "▁") if text else ""
+        chunks = re.findall("▁*[^▁]+|▁+", marked)
+        found = [lattice.best(c) for c in chunks]
+        want.append((sum(score for score, _, _ in found), [i for _, ids, _ in found for i in ids], min((gap for _, _, gap in found), default=np.inf)))
+    monkeypatch.setattr(lattice, "best", None)
+    for limit in (segmentation.KEEP_BYTES, 20_000):
+        memory = segmentation._Memory(lattice, 4, limit)
+        for text, (score, ids, gap) in zip(texts, want):
+            mine, found = segmentation.encode_text(memory, text)
+            assert mine == ids and found[0] == (score, [])
+            assert found[1][0] == score - gap if len(found) > 1 else gap == np.inf
+    one = segmentation._Memory(lattice, 4)
+    ids, ends, lists = segmentation._encoded(segmentation._Memory(lattice, 4), pa.array(["not in the slice", *texts]).slice(1))
+    for k, text in enumerate(texts):
+        assert (ids[ends[k] : ends[k + 1]].tolist(), lists[k]) == segmentation.encode_text(one, text)
+
+
+def test_parts_hold_all_texts(monkeypatch):
+    monkeypatch.setattr(segmentation, "PART_BYTES", 10)
+    monkeypatch.setattr(segmentation, "PART_ROWS", 3)
+    texts = pa.array(["", None, "a", "b", "long" * 9, "12345", "12345", "x", None, None, None, None])
+    assert list(segmentation._parts(texts)) == [(0, 3), (3, 1), (4, 1), (5, 2), (7, 3), (10, 2)]
+    assert list(segmentation._parts(texts.slice(0, 0))) == []

@@ -16,7 +16,7 @@ import types
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +30,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-KEEP_LENGTH, KEEP_BYTES = 64, 64 << 20  # of chunks whose segmentations a Python worker remembers
-PART_BYTES, PART_ROWS = 2 << 20, 2000  # of texts encoded together; a longer text is alone
-TOGETHER = 8192  # chunks in one forward pass
+KEEP_LENGTH, KEEP_BYTES = 64, 32 << 20  # of chunks whose segmentations a Python worker remembers
+PART_BYTES, PART_ROWS = 512 << 10, 2000  # of texts encoded together; a longer text is alone
+TOGETHER = 4096  # chunks in one forward pass
 CHUNK_BYTES, OPTION_BYTES = 220, 200  # about what one remembered chunk, or one alternative of it, takes beside its signs and ids
 ENCODED = "doc_id bigint, ids array<int>, nbest array<struct<score: double, edits: array<struct<start: int, length: int, ids: array<int>>>>>"
 
@@ -413,20 +413,21 @@ class _Memory:
 
     def find(self, chunks: list[str]) -> np.ndarray:
         """Places of distinct chunks; those not met before are segmented."""
-        found = list(map(self.places.get, chunks))
-        new = [k for k, at in enumerate(found) if at is None]
-        short = [chunks[k] for k in new if len(chunks[k]) <= KEEP_LENGTH]
+        found = np.array(list(map(self.places.get, chunks, repeat(-1))), np.int64)
+        new = np.flatnonzero(found < 0)
+        lengths = np.fromiter((len(chunks[k]) for k in new.tolist()), np.int64, len(new))
+        short, long = new[lengths <= KEEP_LENGTH], new[lengths > KEEP_LENGTH]
+        found[np.concatenate([short, long])] = len(self.texts) + np.arange(len(new))
         for first in range(0, len(short), TOGETHER):
-            part = short[first : first + TOGETHER]
+            part = [chunks[k] for k in short[first : first + TOGETHER].tolist()]
             self._add(part, *self.lattice.bests(part), np.zeros(len(part)))
-        for k in new:
-            if len(chunks[k]) > KEEP_LENGTH:
-                score, ids, gap = self.lattice.best(chunks[k].replace(" ", SPACE))
-                self.long.append(len(self.texts))
-                self._add([chunks[k]], np.array([score]), np.array(ids), np.array([len(ids)]), np.array([gap]), np.zeros(1))
-        for k in new:
-            found[k] = self.places[chunks[k]]
-        return np.array(found, np.int64)
+        if long.size:  # few reach the later positions
+            part = [chunks[k] for k in long.tolist()]
+            scores, ids, gaps = zip(*(self.lattice.best(c.replace(" ", SPACE)) for c in part))
+            self.long += range(len(self.texts), len(self.texts) + len(part))
+            flat = np.fromiter(chain.from_iterable(ids), np.int32)
+            self._add(part, np.array(scores), flat, np.array(list(map(len, ids))), np.array(gaps), np.zeros(len(part)))
+        return found
 
     def own(self, at: int) -> tuple[int, ...]:
         return tuple(self.flat[self.starts[at] : self.starts[at + 1]])

@@ -428,8 +428,7 @@ JOIN c ON c.place = b.first"""
 ORACLES["contained_pairs"] = _with(SEQS, """s AS (
   SELECT seqid, seq FROM seqs UNION ALL SELECT seqid || 'h', right(seq, length(seq) // 2) FROM seqs)""", _HOLDERS) + """
 SELECT p.seqid, c.seqid AS centroid, 0 AS edits, 1.0::DOUBLE AS identity
-FROM h JOIN p USING (place) JOIN c ON c.place = h.holder
-QUALIFY h.n >= 64 OR h.holder = min(h.holder) OVER (PARTITION BY h.place)"""
+FROM h JOIN p USING (place) JOIN c ON c.place = h.holder"""
 
 ORACLES["contained_merge"] = _with(SEQS, "s AS (SELECT seqid, seq FROM seqs WHERE doc_id % 2 = 0)", _HOLDERS, """
 every AS (
